@@ -115,7 +115,7 @@ def not_in_portal(
 
 
 def rescue(
-    missing: DataFrame, elsewhere: DataFrame, service: str, key_mode: str
+    missing: DataFrame, elsewhere: DataFrame, key_mode: str = "strip"
 ) -> tuple[DataFrame, DataFrame]:
     """``(found in the second system, still missing)`` among vendor rows missing at the hub."""
     form = match_form(key_mode)
@@ -136,7 +136,6 @@ def buckets(
     cols: MatchColumns = MatchColumns(),
     key_mode: str = "strip",
     elsewhere: DataFrame | None = None,
-    service: str = "",
 ) -> DataFrame:
     """Every matched pair and every unmatched row, once, under its ``CATEGORY``."""
     names = ["CATEGORY", *columns]
@@ -145,7 +144,7 @@ def buckets(
     vendor_only = not_in_portal(hub, vendor, cols, key_mode)
     parts = [matched, tagged(hub_only, NOT_IN_VENDOR)]
     if elsewhere is not None:
-        found, vendor_only = rescue(vendor_only, elsewhere, service, key_mode)
+        found, vendor_only = rescue(vendor_only, elsewhere, key_mode)
         parts.append(tagged(found, MATCHED_ELSEWHERE))
     parts.append(tagged(vendor_only, NOT_IN_PORTAL))
     return select_existing(
@@ -171,7 +170,6 @@ def reconcile(
             cols,
             key_mode,
             elsewhere,
-            service,
         ),
         counts=match_summary(hub, vendor, LEDGER_RULES, cols, key_mode),
         settled=SETTLED,

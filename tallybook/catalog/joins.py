@@ -403,17 +403,13 @@ def wallet_group_three_keys(s: Source) -> DataFrame:
 @query(
     "dedup_first",
     "qr_payments",
-    sql="""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY BankReferenceNo
-  ORDER BY ReferenceNo) AS rn FROM (SELECT ReferenceNo, CASE WHEN trim(BankReferenceNo) IN
-    ('None','nan','NULL') THEN NULL ELSE trim(BankReferenceNo) END AS BankReferenceNo, Amount
-    FROM qr_payments WHERE ReferenceNo <> 'None') t) WHERE rn = 1""".replace(
-        "SELECT * FROM (SELECT *, row",
-        "SELECT ReferenceNo, BankReferenceNo, Amount FROM (SELECT *, row",
-        1,
-    ),
+    sql="""SELECT ReferenceNo, BankReferenceNo, Amount FROM (
+SELECT *, row_number() OVER (PARTITION BY BankReferenceNo ORDER BY ReferenceNo, Amount) AS rn
+FROM (SELECT ReferenceNo, CASE WHEN trim(BankReferenceNo) IN ('None','nan','NULL') THEN NULL
+  ELSE trim(BankReferenceNo) END AS BankReferenceNo, Amount FROM qr_payments) t) WHERE rn = 1""",
 )
 def dedup_first(s: Source) -> DataFrame:
-    rows = s["qr_payments"].where(F.col("ReferenceNo") != "None").select(
+    rows = s["qr_payments"].select(
         "ReferenceNo",
         null_words_to_null("BankReferenceNo").alias("BankReferenceNo"),
         "Amount",

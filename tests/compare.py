@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -61,7 +62,7 @@ def compare(spark, con, sf_dir, query, sql):
 
 
 def main(argv):
-    sys.path.insert(0, "/root/repo")
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from tallybook.catalog import oracle_sql, queries
     from tallybook.session import build_session
 

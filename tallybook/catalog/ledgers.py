@@ -52,9 +52,9 @@ REFUND_SQL = r"""stm AS (SELECT TXNID, STATUS, AMOUNT, "NET COMMISSION" AS COMM,
   nullif(regexp_extract(REFUND, 'Date :\s*(\d{4}-\d{2}-\d{2})', 1), '') AS REFUNDED_DATE,
   nullif(regexp_extract(REFUND, 'Txnid(\d+)', 1), '') AS REFUND_TXNID FROM refund_statement),
 led AS (SELECT TXNID, TYPE, AMOUNT, "COMM/SHARE" AS COMM, TDS, DATE, REFID FROM refund_ledger)"""
-COLUMN_REFUND_SQL = r"""stm AS (SELECT TXNID,
+COLUMN_REFUND_SQL = """stm AS (SELECT TXNID,
   CASE WHEN lower(STATUS) LIKE '%refunded%' THEN 'failed' ELSE 'success' END AS STATUS, AMOUNT, COMM,
-  TDS, DATE, REFID, CAST(NULL AS STRING) AS REFUNDED_DATE, trim(REFUNDTXNID) AS REFUND_TXNID
+  TDS, DATE, REFID, substr(REFUND, 8, 10) AS REFUNDED_DATE, trim(REFUNDTXNID) AS REFUND_TXNID
   FROM column_refund_statement),
 led AS (SELECT TXNID, TYPE, AMOUNT, "COMM/SHARE" AS COMM, TDS, DATE, REFID FROM refund_ledger)"""
 REFUND_PARTS = """failed AS (SELECT * FROM stm WHERE lower(trim(STATUS)) = 'failed'),

@@ -154,7 +154,7 @@ def upi_bank_ref_missing(s: Source) -> DataFrame:
 TRANSFER_VIEWS = ("transfer_table", "vendor", "portal_users")
 TRANSFER_SQL = f"""hub_t AS (SELECT u.apna_id AS ITI_ID, t.utr_no AS ref, t.tot_amt AS ACTUAL_AMOUNT,
   t.trans_amt AS REQUEST_AMOUNT, CAST(t.post_dt AS DATE) AS SERVICE_DATE,
-  CASE t.status WHEN 1 THEN 'success' WHEN 0 THEN 'failed' ELSE CAST(t.status AS STRING) END AS IMPS_STATUS
+  CASE t.status WHEN '1' THEN 'success' WHEN '0' THEN 'failed' ELSE t.status END AS IMPS_STATUS
   FROM transfer_table t LEFT JOIN portal_users u ON u.id = t.users_id
   WHERE CAST(t.post_dt AS DATE) {WITHIN} AND t.utr_no IS NOT NULL AND t.utr_no <> ''),
 pairs AS (SELECT h.*, v.*, lower(v.VENDOR_STATUS) AS vs, lower(h.IMPS_STATUS) AS hs
@@ -207,7 +207,9 @@ def imps_buckets(s: Source) -> DataFrame:
             },
             "HUB_Value_count": count_of("hub_t"),
             "Excel_value_count": count_of("vendor"),
-            "Hub_initiated_count": count_of("hub_t", "FALSE"),
+            "Hub_initiated_count": count_of(
+                "hub_t", "lower(IMPS_STATUS) IN ('initiated', 'inprogress')"
+            ),
             "Hub_success_count": count_of("hub_t", "IMPS_STATUS = 'success'"),
             "Hub_failed_count": count_of("hub_t", "IMPS_STATUS = 'failed'"),
             "Vendor_success_count": count_of("vendor", "lower(VENDOR_STATUS) = 'success'"),

@@ -368,7 +368,9 @@ SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderkey % 89 = 0 THEN ''
             WHEN o_orderkey % 19 = 0 THEN concat('ZZ', {k})
             ELSE concat('KM', {k}) END AS utr_no,
        o_totalprice AS tot_amt, o_totalprice - 1 AS trans_amt,
-       o_orderdate AS post_dt, CAST(o_orderkey % 3 AS INT) AS status,
+       o_orderdate AS post_dt,
+       CASE CAST(o_orderkey % 5 AS INT) WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THEN '2'
+            WHEN 3 THEN 'Initiated' ELSE 'pending' END AS status,
        o_custkey AS users_id
 FROM {d.table("orders")}"""
 
@@ -381,9 +383,9 @@ def _district_requests(d: Dialect) -> str:
     u = _s("user_id")
     return f"""
 SELECT event_id AS id,
-       CASE WHEN event_id % 67 = 0 THEN NULL ELSE concat('A', {u}, event_type) END
+       CASE WHEN event_id % 67 = 0 THEN NULL ELSE concat('A', {u}, event_type, {_s("event_id % 4")}) END
            AS ApplicationId,
-       concat('Q', {_s("user_id % 90")}) AS QuotaId,
+       concat('Q', {u}, '-', {_s("event_id % 6")}) AS QuotaId,
        CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 1 WHEN 'error' THEN 2
             WHEN 'signup' THEN 3 ELSE 9 END AS UpeDistrictServiceId,
        user_id AS VleId, user_id AS EboDetailId,
@@ -399,18 +401,18 @@ def _request_vendor(d: Dialect) -> str:
     return f"""
 SELECT CASE WHEN user_id % 17 = 0 THEN concat('B', {u}, event_type)
             WHEN user_id % 29 = 0 THEN NULL
-            ELSE concat('A', {u}, event_type) END AS REFID,
+            ELSE concat('A', {u}, event_type, {_s("event_id % 4")}) END AS REFID,
        CAST(max(ts) AS DATE) AS VENDOR_DATE
-FROM {d.table("events")} GROUP BY user_id, event_type"""
+FROM {d.table("events")} GROUP BY user_id, event_type, event_id % 4"""
 
 
 @view("quota_vendor", "events")
 def _quota_vendor(d: Dialect) -> str:
     return f"""
-SELECT CASE WHEN user_id % 90 % 13 = 0 THEN 'Q-none' ELSE concat('Q', {_s("user_id % 90")}) END
-           AS REFID,
+SELECT CASE WHEN user_id % 13 = 0 THEN concat('Q-none', {_s("user_id")})
+            ELSE concat('Q', {_s("user_id")}, '-', {_s("event_id % 6")}) END AS REFID,
        CAST(max(ts) AS DATE) AS VENDOR_DATE
-FROM {d.table("events")} GROUP BY user_id % 90"""
+FROM {d.table("events")} GROUP BY user_id, event_id % 6"""
 
 
 @view("portal_requests", "events")
@@ -418,8 +420,8 @@ def _portal_requests(d: Dialect) -> str:
     u = _s("user_id")
     return f"""
 SELECT event_id AS id,
-       concat('A', {u}, event_type) AS application_no,
-       concat('Q', {_s("user_id % 90")}) AS quota_id,
+       concat('A', {u}, event_type, {_s("event_id % 4")}) AS application_no,
+       concat('Q', {u}, '-', {_s("event_id % 6")}) AS quota_id,
        CASE event_type WHEN 'click' THEN 'IS' WHEN 'view' THEN 'is' WHEN 'error' THEN NULL
             ELSE 'SCA' END AS service_code,
        CAST(event_id % 5 AS INT) AS req_app_count,
@@ -433,8 +435,8 @@ def _topup_requests(d: Dialect) -> str:
     u = _s("user_id")
     return f"""
 SELECT event_id AS id,
-       CASE WHEN event_id % 3 = 0 THEN concat(' UTR  ', {u}, '  ', event_type)
-            ELSE concat('UTR ', {u}, ' ', event_type) END AS VerifiedUtrNo,
+       CASE WHEN event_id % 3 = 0 THEN concat(' UTR  ', {u}, '  ', event_type, {_s("event_id % 4")})
+            ELSE concat('UTR ', {u}, ' ', event_type, {_s("event_id % 4")}) END AS VerifiedUtrNo,
        concat('U', {_s("event_id")}) AS UtrNo, concat('AC', {u}) AS AccountNo,
        value AS Amount, CAST(event_id % 9 AS INT) AS ManualTbStatusType,
        user_id % 5 AS manualTbbankId, user_id AS EboDetailId,
@@ -447,9 +449,9 @@ def _topup_vendor(d: Dialect) -> str:
     u = _s("user_id")
     return f"""
 SELECT CASE WHEN user_id % 17 = 0 THEN concat('NONE ', {u})
-            ELSE concat('UTR ', {u}, ' ', event_type) END AS REFID,
+            ELSE concat('UTR ', {u}, ' ', event_type, {_s("event_id % 4")}) END AS REFID,
        CAST(max(ts) AS DATE) AS VENDOR_DATE
-FROM {d.table("events")} GROUP BY user_id, event_type"""
+FROM {d.table("events")} GROUP BY user_id, event_type, event_id % 4"""
 
 
 @view("agents", "customer")
@@ -577,7 +579,7 @@ SELECT concat('T', {k}) AS TXNID,
        {_money("floor(o_totalprice / 1000)")} AS TDS,
        {d.text("o_orderdate", "yyyy-MM-dd")} AS DATE,
        concat('R', {k}) AS REFID,
-       CAST(NULL AS STRING) AS REFUND,
+       concat('Date : ', {d.text("o_orderdate", "yyyy-MM-dd")}) AS REFUND,
        CASE WHEN o_orderkey % 6 = 5 THEN NULL
             ELSE concat(' ', {_s("o_orderkey + 500000000000")}) END AS REFUNDTXNID
 FROM {d.table("orders")}"""
@@ -661,7 +663,7 @@ FROM {d.table("lineitem")} GROUP BY l_orderkey
 UNION ALL
 SELECT concat('CR', {_s("l_orderkey")}) AS {d.name("Chq / Ref No.")},
        CAST(NULL AS STRING) AS Debit,
-       CASE WHEN l_orderkey % 8 = 0 THEN '2' WHEN l_orderkey % 9 = 0 THEN NULL
+       CASE WHEN l_orderkey % 7 = 0 THEN '2' WHEN l_orderkey % 9 = 0 THEN NULL
             ELSE {_s("CAST(floor(max(l_extendedprice)) AS BIGINT)")} END AS Credit,
        CASE WHEN l_orderkey % 4 = 0 THEN 'interest'
             WHEN l_orderkey % 12 = 1 THEN concat('BBPS-AB12-REF-NONE', {_s("l_orderkey")}, '-',

@@ -253,7 +253,7 @@ HUB_SERVICES: dict[str, HubService] = {
 # Status names of the second system that may know a missing application,
 # of the bank-transfer service and of manual top-ups.
 ELSEWHERE_CODES = {"1": "success", "2": INITIATED, "3": "failed"}
-TRANSFER_CODES = {1: "success", 0: "failed"}
+TRANSFER_CODES = {"1": "success", "0": "failed"}
 TOPUP_CODES = {
     0: "unknown",
     1: "New Request",

@@ -48,7 +48,7 @@ def transfers(tables: Tables, start: Day, end: Day) -> DataFrame:
         F.col("tot_amt").alias("ACTUAL_AMOUNT"),
         F.col("trans_amt").alias("REQUEST_AMOUNT"),
         F.col("post_dt").cast("date").alias("SERVICE_DATE"),
-        label("status", TRANSFER_CODES).alias("IMPS_STATUS"),
+        label(F.col("status").cast("string"), TRANSFER_CODES).alias("IMPS_STATUS"),
     )
 
 

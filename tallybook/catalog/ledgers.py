@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallybook.catalog.registry import query
 from tallybook.catalog.views import Source
-from tallybook.operators.columns import tagged, union_aligned
 from tallybook.operators.filters import split_on
 from tallybook.functions.numbers import amounts_equal
 from tallybook.operators.match import exact, inner_match, missing_from
@@ -244,9 +243,12 @@ SELECT SETTLED_ID, CAST(total AS DOUBLE) AS SUM_AMOUNT, CAST(AMOUNT AS DOUBLE) A
 )
 def group_total_vs_ledger(s: Source) -> DataFrame:
     led, stm = ledger_settlement.prepare(s["settlement_ledger"], s["settled_statement"])
+    settled = ledger_settlement.compare_totals(led, stm).where(
+        ~ledger_settlement.is_idle()
+    )
     return plain(
-        ledger_settlement.compare_totals(led, stm).select(
-            "SETTLED_ID", "SUM_AMOUNT", "AMOUNT_LEDGER", "AGREES"
+        settled.select(
+            F.col("SNO").alias("SETTLED_ID"), "SUM_AMOUNT", "AMOUNT_LEDGER", "AGREES"
         )
     )
 
@@ -260,10 +262,13 @@ UNION ALL SELECT 'other', SNO, AMOUNT FROM idle WHERE SNO NOT IN (SELECT SNO FRO
 )
 def seq_adjacent_commission(s: Source) -> DataFrame:
     led, stm = ledger_settlement.prepare(s["settlement_ledger"], s["settled_statement"])
-    compared = ledger_settlement.compare_totals(led, stm)
-    after, others = ledger_settlement.commission_rows(led, compared, stm)
-    rows = union_aligned(tagged(after, "commission"), tagged(others, "other"))
-    return plain(rows.select("CATEGORY", "SNO", F.col("AMOUNT_LEDGER").alias("AMOUNT")))
+    marked = ledger_settlement.mark_commission(ledger_settlement.compare_totals(led, stm))
+    kind = F.when(F.col("IS_COMMISSION"), F.lit("commission")).otherwise(F.lit("other"))
+    return plain(
+        marked.where(ledger_settlement.is_idle()).select(
+            kind.alias("CATEGORY"), "SNO", F.col("AMOUNT_LEDGER").alias("AMOUNT")
+        )
+    )
 
 
 # ----------------------------------------------- amounts on one reference

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from tallybook.functions._cols import ColumnOrName, as_col
 from tallybook.functions.text import strip
 
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_WHOLE = r"^([+-]?)0*(\d+)(\.0*)?$"
+# Java reads a trailing type letter as part of a number; here it is text.
+_TYPE_LETTERS = ("d", "D", "f", "F")
 
 
 def to_number(c: ColumnOrName) -> Column:
     """Double from text; anything that is not a finite plain number is null, never an error."""
     text = strip(c)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    value = text.try_cast("double")
+    finite = F.abs(value) < F.lit(float("inf"))
+    plain = ~F.right(text, F.lit(1)).isin(*_TYPE_LETTERS)
+    return F.when(finite & plain, value)
 
 
 def to_decimal(c: ColumnOrName, precision: int = 18, scale: int = 2) -> Column:
@@ -32,20 +35,14 @@ def whole_number_text(c: ColumnOrName) -> Column:
     """Integer text of a numeric cell, truncated toward zero.
 
     ``12.0`` gives ``12``, ``10.75`` gives ``10``, null and ``nan`` give the
-    empty string, other text is only stripped. Whole numbers keep all their
-    digits, so references beyond 2**53 are not altered.
+    empty string. Other text, and numbers beyond 64 bits, are only stripped.
+    The way through decimals keeps every digit of long references.
     """
     text = strip(c)
-    digits = F.regexp_extract(text, _WHOLE, 2)
-    sign = F.when(
-        (F.regexp_extract(text, _WHOLE, 1) == "-") & (digits != "0"), F.lit("-")
-    ).otherwise(F.lit(""))
-    truncated = to_number(text).try_cast("bigint").cast("string")
-    return (
-        F.when(text.isNull() | (F.lower(text) == "nan"), F.lit(""))
-        .when(text.rlike(_WHOLE), F.concat(sign, digits))
-        .otherwise(F.coalesce(truncated, text))
-    )
+    whole = text.try_cast("decimal(38,18)").try_cast("bigint").cast("string")
+    return F.when(
+        text.isNull() | (F.lower(text) == "nan"), F.lit("")
+    ).otherwise(F.coalesce(whole, text))
 
 
 def round_result(c: ColumnOrName, places: int = 3) -> Column:

@@ -17,6 +17,7 @@ from tallybook.plans.ledger_common import (
     MATCHING,
     NOT_IN_LEDGER,
     NOT_IN_STATEMENT,
+    category,
     count_buckets,
     counts,
     result,
@@ -76,11 +77,9 @@ def reconcile_amounts(
 ) -> Result:
     led, stm = prepare_amounts(ledger, statement, amount_mode)
     both = inner_match(led, stm, "UTR", "RRN", exact)
-    equal, unequal = split_on(both, amounts_equal("AMOUNT_LEDGER", "AMOUNT_STATEMENT"))
+    agree = amounts_equal("AMOUNT_LEDGER", "AMOUNT_STATEMENT")
     rows = stack(
         {
-            MATCHING: equal,
-            AMOUNT_MISMATCH: unequal,
             # the ledger's own reference is shown in the reference column
             NOT_IN_STATEMENT: missing_from(led, stm, "UTR", "RRN", exact).withColumnRenamed(
                 "UTR", "RRN"
@@ -88,6 +87,7 @@ def reconcile_amounts(
             NOT_IN_LEDGER: missing_from(stm, led, "RRN", "UTR", exact),
         },
         AMOUNT_COLUMNS,
+        [both.withColumn("CATEGORY", category(agree, MATCHING, AMOUNT_MISMATCH))],
     )
     numbers = counts(
         (

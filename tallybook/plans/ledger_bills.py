@@ -20,7 +20,6 @@ from tallybook.operators.filters import (
     is_refund_entry,
     looks_failed,
     says_failed,
-    split_on,
 )
 from tallybook.operators.match import exact, inner_match, missing_from
 from tallybook.plans.ledger_common import (
@@ -113,23 +112,26 @@ def reconcile_bills(
     both = inner_match(
         led.drop("CREDIT", "DESCRIPTION"), stm, "LEDGER_REF", "STATEMENT_REF", exact
     )
-    equal, unequal = split_on(both, amounts_equal("AMOUNT_LEDGER", "AMOUNT_STATEMENT"))
+    agree = amounts_equal("AMOUNT_LEDGER", "AMOUNT_STATEMENT")
+    equal = both.where(agree)
     failed = equal.where(looks_failed("TRANSACTION_STATUS"))
     checked = refund_amount_check(failed, refunds)
     # A full refund is attached to the failed row it belongs to. Matching it by
     # row rather than by reference alone keeps repeated references from
-    # multiplying each other.
+    # multiplying each other, and spreads a hot reference by its amounts.
     full = (
         (F.col("LEDGER_REF") == F.col("REF_NUMBER"))
         & (F.col("REFUNDED_AMOUNT") == to_number("AMOUNT_STATEMENT"))
         & looks_failed("TRANSACTION_STATUS")
+        & agree
     )
-    with_refund = equal.join(
-        refunds.select("REF_NUMBER", "REFUNDED_AMOUNT"), full, "left"
-    )
-    open_failed, matching = split_on(
-        with_refund,
-        says_failed("TRANSACTION_STATUS") & F.col("REFUNDED_AMOUNT").isNull(),
+    refund = refunds.select("REF_NUMBER", "REFUNDED_AMOUNT")
+    open_failed = says_failed("TRANSACTION_STATUS") & F.col("REFUNDED_AMOUNT").isNull()
+    matched = both.join(refund, full, "left").withColumn(
+        "CATEGORY",
+        F.when(~agree, F.lit(AMOUNT_MISMATCH))
+        .when(open_failed, F.lit(NOT_REFUNDED))
+        .otherwise(F.lit(MATCHING)),
     )
 
     def shown(df: DataFrame, reference: str, date: str) -> DataFrame:
@@ -138,9 +140,6 @@ def reconcile_bills(
     bills = led.where(has_bill_prefix("LEDGER_REF"))
     rows = stack(
         {
-            MATCHING: shown(matching, "LEDGER_REF", "LEDGER_DATE"),
-            NOT_REFUNDED: shown(open_failed, "LEDGER_REF", "LEDGER_DATE"),
-            AMOUNT_MISMATCH: shown(unequal, "LEDGER_REF", "LEDGER_DATE"),
             NOT_IN_STATEMENT: shown(
                 missing_from(bills, stm, "LEDGER_REF", "STATEMENT_REF", exact),
                 "LEDGER_REF",
@@ -161,6 +160,7 @@ def reconcile_bills(
             ),
         },
         COLUMNS,
+        [shown(matched, "LEDGER_REF", "LEDGER_DATE")],
     )
     numbers = counts(
         (

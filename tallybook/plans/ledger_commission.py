@@ -9,7 +9,6 @@ from tallybook.functions._cols import as_col
 from tallybook.functions.numbers import amounts_equal, to_decimal
 from tallybook.functions.text import key_of, strip
 from tallybook.operators.columns import upper_headers
-from tallybook.operators.filters import split_on
 from tallybook.operators.match import drop_explained, exact, inner_match, missing_from
 from tallybook.plans.ledger_common import (
     AMOUNT_MISMATCH,
@@ -17,6 +16,7 @@ from tallybook.plans.ledger_common import (
     MATCHING,
     NOT_IN_LEDGER,
     NOT_IN_STATEMENT,
+    category,
     count_buckets,
     counts,
     result,
@@ -74,9 +74,11 @@ def children(parents: DataFrame, candidates: DataFrame) -> DataFrame:
 def reconcile_commission(ledger: DataFrame, statement: DataFrame) -> Result:
     led, stm = prepare(ledger, statement)
     both = inner_match(led, stm, "LDG_TID", "STMT_TID", exact)
-    equal, unequal = split_on(both, amounts_equal("LDG_AMOUNT", "STMT_AMOUNT"))
+    agree = amounts_equal("LDG_AMOUNT", "STMT_AMOUNT")
     ledger_only = missing_from(led, stm, "LDG_TID", "STMT_TID", exact)
-    paired, paired_unequal = children(equal, ledger_only), children(unequal, ledger_only)
+    paired = children(both, ledger_only).withColumn(
+        "CATEGORY", category(agree, MATCHING, AMOUNT_MISMATCH)
+    )
     parents = ledger_only.select("PARENT_TID")
     # A ledger-only row is explained if its reference is any matched row.
     unexplained = drop_explained(
@@ -88,8 +90,6 @@ def reconcile_commission(ledger: DataFrame, statement: DataFrame) -> Result:
 
     rows = stack(
         {
-            MATCHING: dated(paired, "LDG_DATE"),
-            AMOUNT_MISMATCH: dated(paired_unequal, "LDG_DATE"),
             MATCHED_NO_COMMISSION: dated(
                 missing_from(both, parents, "LDG_TID", "PARENT_TID", exact), "LDG_DATE"
             ),
@@ -99,6 +99,7 @@ def reconcile_commission(ledger: DataFrame, statement: DataFrame) -> Result:
             ).withColumnRenamed("STMT_TID", "LDG_TID"),
         },
         COLUMNS,
+        [dated(paired, "LDG_DATE")],
     )
     has_commission = F.col("COMM_AMT").isNotNull() & (F.col("COMM_AMT") != 0)
     missing = count_buckets(
@@ -113,7 +114,7 @@ def reconcile_commission(ledger: DataFrame, statement: DataFrame) -> Result:
         (led, {**row_count("ledger_count"), "ledger_credit_count": has_commission}),
         (stm, row_count("statement_count")),
         # every unequal pair is a failure, also one without a commission row to show
-        (unequal, row_count("failed_trans_count")),
+        (both, {"failed_trans_count": ~agree}),
         total=missing,
     )
     return result(rows, parts.groupBy("metric").agg(F.sum("value").alias("value")))

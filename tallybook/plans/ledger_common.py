@@ -26,10 +26,26 @@ MATCHED_NO_COMMISSION = "MATCHED_NO_COMMISSION"
 SETTLED = (MATCHING, REFUNDS)
 
 
-def stack(buckets: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:
-    """All buckets in one frame, with the listed columns that any of them has."""
-    parts = [tagged(select_existing(df, columns), name) for name, df in buckets.items()]
-    return select_existing(union_aligned(*parts), ["CATEGORY", *columns])
+def stack(
+    buckets: Mapping[str, DataFrame],
+    columns: Sequence[str],
+    classified: Sequence[DataFrame] = (),
+) -> DataFrame:
+    """All buckets in one frame, with the listed columns that any of them has.
+
+    ``classified`` frames carry their ``CATEGORY`` already: rows of one join
+    that differ only in their bucket are told apart by a column, so that the
+    join runs once.
+    """
+    names = ["CATEGORY", *columns]
+    parts = [select_existing(df, names) for df in classified]
+    parts += [tagged(select_existing(df, columns), name) for name, df in buckets.items()]
+    return select_existing(union_aligned(*parts), names)
+
+
+def category(test: Column, yes: str, no: str) -> Column:
+    """One of two bucket names; a null test gives ``no``."""
+    return F.when(test, F.lit(yes)).otherwise(F.lit(no))
 
 
 def counts(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions._cols import as_col
@@ -11,13 +11,13 @@ from tallybook.functions.status import FAILED, lower_status
 from tallybook.functions.text import drop_point_zero, strip
 from tallybook.operators.columns import upper_headers, with_prefix
 from tallybook.operators.filters import NON_TRANSACTION, exclude_matching
-from tallybook.operators.match import exact, missing_from
 from tallybook.plans.ledger_common import (
     AMOUNT_MISMATCH,
     MATCHED_NO_COMMISSION,
     MATCHING,
     NOT_IN_LEDGER,
     NOT_IN_STATEMENT,
+    category,
     count_buckets,
     counts,
     result,
@@ -84,59 +84,79 @@ def settlement_totals(statement: DataFrame) -> DataFrame:
 
 
 def compare_totals(ledger: DataFrame, statement: DataFrame) -> DataFrame:
-    """Ledger rows that settle something, with the settled total and whether it agrees."""
+    """Ledger rows with the statement total they settle (null if none) and whether it agrees."""
     totals = settlement_totals(statement)
-    return totals.join(ledger, F.col("SETTLED_ID") == F.col("SNO")).withColumn(
-        "AGREES", amounts_equal("SUM_AMOUNT", "AMOUNT_LEDGER")
+    return ledger.join(totals, F.col("SNO") == F.col("SETTLED_ID"), "left").select(
+        *ledger.columns,
+        "SUM_AMOUNT",
+        amounts_equal("SUM_AMOUNT", "AMOUNT_LEDGER").alias("AGREES"),
     )
 
 
-def commission_rows(
-    ledger: DataFrame, settled: DataFrame, statement: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Ledger rows that settle nothing, as ``(directly after an agreeing settlement, others)``."""
-    idle = missing_from(ledger, statement, "SNO", "SETTLED_ID", exact)
-    after = settled.where("AGREES").select((F.col("SNO") + 1).alias("NEXT_SNO"))
-    return (
-        idle.join(after, F.col("SNO") == F.col("NEXT_SNO"), "left_semi"),
-        idle.join(after, F.col("SNO") == F.col("NEXT_SNO"), "left_anti"),
+def is_idle() -> Column:
+    """The ledger row settles nothing."""
+    return F.col("SUM_AMOUNT").isNull()
+
+
+def mark_commission(compared: DataFrame) -> DataFrame:
+    """``IS_COMMISSION`` for ledger rows that settle nothing and directly follow an agreeing one."""
+    bases = (
+        compared.where("AGREES")
+        .select((F.col("SNO") + 1).alias("NEXT_SNO"))
+        .distinct()
+    )
+    follows = is_idle() & F.col("NEXT_SNO").isNotNull()
+    return compared.join(bases, F.col("SNO") == F.col("NEXT_SNO"), "left").select(
+        *compared.columns, follows.alias("IS_COMMISSION")
+    )
+
+
+def with_commission(compared: DataFrame) -> DataFrame:
+    """Settling ledger rows with the commission row that follows an agreeing one, prefixed ``C_``."""
+    commission = with_prefix(
+        compared.where(is_idle()).select("SNO", "TYPE", "DATE"), "C_"
+    )
+    follows = F.col("AGREES") & (F.col("SNO") + 1 == F.col("C_SNO"))
+    return compared.where(~is_idle()).join(commission, follows, "left")
+
+
+def _with_ledger(statement: DataFrame, settled: DataFrame) -> DataFrame:
+    """Statement rows with their settling ledger row and its commission row, classified.
+
+    Serial numbers identify ledger rows, so the right side has one row per key
+    and only the statement side can be hot, which a left join splits.
+    """
+    known = F.col("SNO").isNotNull()
+    paired = F.col("C_SNO").isNotNull()
+    open_ = F.coalesce(F.lower("STATUS") != FAILED, F.lit(True))
+    rows = statement.join(settled, F.col("SETTLED_ID") == F.col("SNO"), "left")
+    return rows.where(F.coalesce("AGREES", F.lit(False)) | (~known & open_)).select(
+        F.when(~known, F.lit(NOT_IN_LEDGER))
+        .when(paired, F.lit(MATCHING))
+        .otherwise(F.lit(MATCHED_NO_COMMISSION))
+        .alias("CATEGORY"),
+        *statement.columns,
+        F.col("C_SNO").alias("COMMISSION_SNO"),
+        "AMOUNT_LEDGER",
+        F.when(paired, F.col("C_TYPE")).otherwise(F.col("TYPE")).alias("TYPE"),
+        F.when(paired, F.col("C_DATE")).otherwise(F.col("DATE")).alias("DATE"),
     )
 
 
 def reconcile_settlement(ledger: DataFrame, statement: DataFrame) -> Result:
     led, stm = prepare(ledger, statement)
     compared = compare_totals(led, stm)
-    commission, idle = commission_rows(led, compared, stm)
-    agreed = compared.where("AGREES").select(
-        (F.col("SNO") + 1).alias("NEXT_SNO"),
-        F.col("SETTLED_ID").alias("BASE_ID"),
-        F.col("AMOUNT_LEDGER").alias("BASE_AMOUNT"),
-        F.col("TYPE").alias("BASE_TYPE"),
-        F.col("DATE").alias("BASE_DATE"),
+    marked = mark_commission(compared)
+    ledger_side = (
+        marked.where(
+            F.when(is_idle(), ~F.col("IS_COMMISSION")).otherwise(~F.col("AGREES"))
+        )
+        .withColumn("CATEGORY", category(is_idle(), NOT_IN_STATEMENT, AMOUNT_MISMATCH))
+        .withColumnRenamed("SNO", "SETTLED_ID")
+    )
+    rows = stack(
+        {}, COLUMNS, [_with_ledger(stm, with_commission(compared)), ledger_side]
     )
-    detail = agreed.join(stm, F.col("BASE_ID") == F.col("SETTLED_ID"))
-    tagged_commission = with_prefix(commission, "C_")
-    paired = detail.join(tagged_commission, F.col("C_SNO") == F.col("NEXT_SNO"))
-    lone = detail.join(tagged_commission, F.col("C_SNO") == F.col("NEXT_SNO"), "left_anti")
-    buckets = {
-        MATCHING: paired.withColumnsRenamed(
-            {
-                "C_SNO": "COMMISSION_SNO",
-                "C_TYPE": "TYPE",
-                "C_DATE": "DATE",
-                "BASE_AMOUNT": "AMOUNT_LEDGER",
-            }
-        ),
-        MATCHED_NO_COMMISSION: lone.withColumnsRenamed(
-            {"BASE_AMOUNT": "AMOUNT_LEDGER", "BASE_TYPE": "TYPE", "BASE_DATE": "DATE"}
-        ),
-        AMOUNT_MISMATCH: compared.where(~F.col("AGREES")),
-        NOT_IN_STATEMENT: idle.withColumnRenamed("SNO", "SETTLED_ID"),
-        NOT_IN_LEDGER: missing_from(stm, led, "SETTLED_ID", "SNO", exact).where(
-            F.coalesce(F.lower("STATUS") != FAILED, F.lit(True))
-        ),
-    }
-    rows = stack(buckets, COLUMNS)
     numbers = counts(
         (ledger, row_count("ledger_count")),
         (statement, row_count("statement_count")),

@@ -34,7 +34,8 @@ def char_slice(c: ColumnOrName, start: int, length: int) -> Column:
 
 def key_of(c: ColumnOrName) -> Column:
     """Join key form of a reference: stripped text, blank becomes null."""
-    return F.nullif(strip(c), F.lit(""))
+    text = strip(c)
+    return F.when(text != "", text)
 
 
 def is_present(c: ColumnOrName) -> Column:

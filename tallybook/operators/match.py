@@ -3,8 +3,9 @@
 Null keys never match. Membership tests (semi, anti, flag) reduce the right
 side to its distinct keys before the join: repeats of a hot key collapse in the
 map-side half of that aggregation, and the join itself can only be skewed on
-its left, which adaptive execution splits. No side is ever hinted for
-broadcast; Spark broadcasts what its statistics show to be small.
+its left, which adaptive execution splits. It can do so only if both sides
+arrive through a shuffle made for the join, see ``key_set``. No side is ever
+hinted for broadcast; Spark broadcasts what its statistics show to be small.
 """
 
 from __future__ import annotations
@@ -36,7 +37,20 @@ def stripped(name: str) -> Column:
 
 def key_set(df: DataFrame, key: str, form: KeyForm = stripped) -> DataFrame:
     """Distinct usable keys of a side, as the single column ``__key``."""
-    return df.select(form(key).alias(_KEY)).where(F.col(_KEY).isNotNull()).distinct()
+    return distinct_keys(df.select(form(key).alias(_KEY)))
+
+
+def distinct_keys(keys: DataFrame) -> DataFrame:
+    """Distinct non-null values of ``__key``, ready to be the right side of a join.
+
+    Left alone, Spark would join the output of the aggregation in place. That
+    saves a shuffle of the reduced keys, but adaptive execution then cannot
+    split a hot key on the other, much larger side. ``greatest`` of the key with
+    itself is the key, yet hides the partitioning, so the join gets a shuffle
+    of its own.
+    """
+    once = keys.where(F.col(_KEY).isNotNull()).distinct()
+    return once.select(F.greatest(_KEY, _KEY).alias(_KEY))
 
 
 def join_keys(
@@ -121,8 +135,7 @@ def drop_explained(
     for frame, column in explained:
         part = frame.select(form(column).alias(_KEY))
         keys = part if keys is None else keys.unionByName(part)
-    keys = keys.where(F.col(_KEY).isNotNull()).distinct()
-    return join_keys(left, keys, key, form, "left_anti")
+    return join_keys(left, distinct_keys(keys), key, form, "left_anti")
 
 
 def outer_split(

@@ -338,7 +338,7 @@ def _qr_sessions(d: Dialect) -> str:
     return f"""
 SELECT c_custkey AS Id, CAST(c_custkey % 4 + 1 AS INT) AS TenantDetailId,
        c_name AS EboUserName,
-       CAST({d.add_days("DATE '1995-06-01'", "c_custkey % 1900")} AS TIMESTAMP) AS CreationTs
+       CAST({d.add_days("DATE '1995-06-01'", "c_custkey * 37 % 1900")} AS TIMESTAMP) AS CreationTs
 FROM {d.table("customer")}"""
 
 
@@ -488,7 +488,7 @@ SELECT c_custkey AS id,
        c_name AS f_name, concat('9', {k}) AS phone_no,
        concat(c_name, '@example.com') AS email_id,
        CASE WHEN c_custkey % 33 = 0 THEN TIMESTAMP '1971-05-05 00:00:00'
-            ELSE CAST({d.add_days("DATE '1997-01-01'", "c_custkey % 1100")} AS TIMESTAMP) END
+            ELSE CAST({d.add_days("DATE '1997-01-01'", "c_custkey * 37 % 1100")} AS TIMESTAMP) END
            AS next_due_date,
        CAST(c_custkey % 3 + 3 AS INT) AS mas_user_type_id,
        CAST(c_custkey % 5 AS INT) AS up_vle_status

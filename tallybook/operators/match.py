@@ -41,16 +41,20 @@ def key_set(df: DataFrame, key: str, form: KeyForm = stripped) -> DataFrame:
 
 
 def distinct_keys(keys: DataFrame) -> DataFrame:
-    """Distinct non-null values of ``__key``, ready to be the right side of a join.
+    """Distinct non-null values of ``__key``, ready to be the right side of a join."""
+    return own_shuffle(keys.where(F.col(_KEY).isNotNull()).distinct(), _KEY)
+
+
+def own_shuffle(grouped: DataFrame, key: str) -> DataFrame:
+    """A frame grouped by ``key`` that does not offer its partitioning to a join on it.
 
     Left alone, Spark would join the output of the aggregation in place. That
-    saves a shuffle of the reduced keys, but adaptive execution then cannot
-    split a hot key on the other, much larger side. ``greatest`` of the key with
-    itself is the key, yet hides the partitioning, so the join gets a shuffle
-    of its own.
+    saves a shuffle of the reduced rows, but adaptive execution then cannot
+    split a hot key, or a mass of null keys, on the other and much larger side.
+    ``greatest`` of the key with itself is the key, yet hides the partitioning,
+    so the join gets a shuffle of its own.
     """
-    once = keys.where(F.col(_KEY).isNotNull()).distinct()
-    return once.select(F.greatest(_KEY, _KEY).alias(_KEY))
+    return grouped.withColumn(key, F.greatest(as_col(key), as_col(key)))
 
 
 def join_keys(

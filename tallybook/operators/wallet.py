@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions._cols import as_col
 from tallybook.functions.labels import yes_no
-from tallybook.operators.match import exact, join_keys
+from tallybook.operators.match import exact, join_keys, key_set, own_shuffle
 
 # Wallet entry descriptions behind each flag.
 TRANSACTION_CREDIT = (
@@ -174,11 +174,7 @@ def backfill_flags(
     Only ids that need it are looked up (semi join before the aggregation).
     Every row with a looked-up id takes the looked-up flags.
     """
-    wanted = (
-        rows.where(as_col(hit_column).isNull() & as_col(id_column).isNotNull())
-        .select(as_col(id_column).alias("__key"))
-        .distinct()
-    )
+    wanted = key_set(rows.where(as_col(hit_column).isNull()), id_column, exact)
     found = (
         undated_wallet.withColumn("__key", as_col("MasterTransactionsId"))
         .join(wanted, "__key", "left_semi")
@@ -186,7 +182,7 @@ def backfill_flags(
         .agg(*flag_aggregates(flags))
         .withColumnsRenamed({name: f"__{name}" for name in flags})
     )
-    joined = join_keys(rows, found, id_column, exact, "left")
+    joined = join_keys(rows, own_shuffle(found, "__key"), id_column, exact, "left")
     filled = joined.withColumns(
         {n: F.coalesce(as_col(f"__{n}"), as_col(n)) for n in flags}
     )

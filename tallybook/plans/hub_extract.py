@@ -20,8 +20,10 @@ from tallybook.functions.labels import HUB_STATUS, label, tenant_name
 from tallybook.functions.text import like_text, strip
 from tallybook.operators.match import (
     assert_unique,
+    distinct_keys,
     flag_present,
     lookup,
+    own_shuffle,
     unique_left_join,
 )
 from tallybook.operators.wallet import backfill_flags, two_link_flags
@@ -192,7 +194,8 @@ def hub_extract(
         )
     if validate:
         assert_unique(rows, "IHUB_REFERENCE", f"{service} extract")
-    flags = wallet_flags(tables, spec, start, end)
+    # rows whose detail has no master transaction share the null reference
+    flags = own_shuffle(wallet_flags(tables, spec, start, end), "IHubReferenceId")
     rows = unique_left_join(
         rows, flags, "IHUB_REFERENCE", "IHubReferenceId", validate=False
     ).drop("IHubReferenceId")
@@ -238,5 +241,4 @@ def tenant_rows_missing_at_hub(
         in_days("CreationTs", start, end)
         & F.col("VendorSubServiceMappingId").isin(*hub_services)
     ).select(F.col("TenantMasterTransactionId").alias("__key"))
-    known = known.where(F.col("__key").isNotNull()).distinct()
-    return rows.join(known, F.col("Id") == F.col("__key"), "left_anti")
+    return rows.join(distinct_keys(known), F.col("Id") == F.col("__key"), "left_anti")

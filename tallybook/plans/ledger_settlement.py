@@ -11,6 +11,7 @@ from tallybook.functions.status import FAILED, lower_status
 from tallybook.functions.text import drop_point_zero, strip
 from tallybook.operators.columns import upper_headers, with_prefix
 from tallybook.operators.filters import NON_TRANSACTION, exclude_matching
+from tallybook.operators.match import own_shuffle
 from tallybook.plans.ledger_common import (
     AMOUNT_MISMATCH,
     MATCHED_NO_COMMISSION,
@@ -85,7 +86,7 @@ def settlement_totals(statement: DataFrame) -> DataFrame:
 
 def compare_totals(ledger: DataFrame, statement: DataFrame) -> DataFrame:
     """Ledger rows with the statement total they settle (null if none) and whether it agrees."""
-    totals = settlement_totals(statement)
+    totals = own_shuffle(settlement_totals(statement), "SETTLED_ID")
     return ledger.join(totals, F.col("SNO") == F.col("SETTLED_ID"), "left").select(
         *ledger.columns,
         "SUM_AMOUNT",

@@ -1,4 +1,4 @@
-"""Times the headline queries once warm and prints one JSON line."""
+"""Times the headline queries, warm, and prints one JSON line."""
 
 from __future__ import annotations
 
@@ -17,15 +17,11 @@ HEADLINE = (
     "recon_buckets",
     "recon_counts",
     "recon_rows",
-    "recon_combined",
     "hub_extract_recharge",
-    "hub_extract_passport",
     "service_recon_bills",
     "wallet_flags_two_link",
     "upi_buckets",
-    "imps_buckets",
     "up_buckets_sultanpursca",
-    "up_buckets_chitrakoot_is",
     "refund_reconcile",
     "settlement_reconcile",
     "amount_reconcile",
@@ -33,14 +29,13 @@ HEADLINE = (
     "commission_reconcile",
     "daily_verdict_rows",
     "users_detail",
-    "billfetch_enrich",
 )
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = os.environ.get("BENCH_QUERIES")
     wanted = list(queries()) if names == "all" else (names or "").split(",")
     wanted = [n for n in wanted if n] or list(HEADLINE)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions._cols import ColumnOrName, as_col
 from tallybook.functions.dates import Day, in_days, is_unset_year
-from tallybook.functions.text import is_present, matches, null_words_to_null, strip
+from tallybook.functions.text import matches, null_words_to_null, strip
 
 # Ledger texts that are no customer transactions, texts of failed
 # transactions, refund entries, and the reference prefix of bill payments.
@@ -86,6 +86,3 @@ def reference_not_updated(reference: ColumnOrName, own_id: ColumnOrName) -> Colu
     missing = F.coalesce(ref == "0", F.lit(True))
     return missing & null_words_to_null(own_id).isNotNull()
 
-
-def has_key(c: ColumnOrName) -> Column:
-    return is_present(c)

@@ -29,6 +29,7 @@ def reconcile(
     end: Day,
     transaction_type: str | None = None,
     check_window: bool = True,
+    stage: bool = False,
 ) -> Result | DataFrame:
     """Run the reconciliation of ``service``; the two services that only report give a frame.
 
@@ -50,5 +51,5 @@ def reconcile(
     if service in REQUEST_SERVICES:
         return reconcile_requests(service, vendor_file, tables, start, end)
     return reconcile_service(
-        service, vendor_file, tables, start, end, transaction_type
+        service, vendor_file, tables, start, end, transaction_type, stage=stage
     )

@@ -7,9 +7,10 @@ detail table, ``IHubWalletTransaction``, ``TenantWalletTransaction`` and
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.config.hub_services import HubService, hub_service
@@ -82,7 +83,9 @@ def _details(tables: Tables, spec: HubService, start: Day, end: Day) -> DataFram
     return d
 
 
-def _columns(spec: HubService, service: str, codes) -> dict[str, F.Column]:
+def _columns(
+    spec: HubService, service: str, codes: Mapping[int, str]
+) -> dict[str, Column]:
     key = as_col("VENDOR_REFERENCE").cast("string")
     amount = "HUB_AMOUNT" if spec.amount_in_sub is None else "SUB_AMOUNT"
     shown = "MASTER_TS" if spec.shown_master_date else spec.shown_date or spec.window
@@ -95,7 +98,7 @@ def _columns(spec: HubService, service: str, codes) -> dict[str, F.Column]:
         "COMMISSION_AMOUNT": as_col("COMMISSION_AMOUNT"),
         "SERVICE_DATE": as_col(shown).cast("date"),
         "HUB_AMOUNT": as_col(amount),
-        f"{service}_STATUS": label(spec.status, codes),
+        f"{service}_STATUS": label("DETAIL_STATUS", codes),
     }
     if spec.dimension:
         out[spec.dimension[4]] = as_col(spec.dimension[4])
@@ -150,7 +153,6 @@ def service_transactions(
     ).join(master, F.col("SUB_MASTER_ID") == F.col("MASTER_ID"), how)
     codes = {**spec.codes, **(spec.legacy_codes if legacy_labels else {})}
     columns = _columns(spec, service, codes)
-    columns[f"{service}_STATUS"] = label("DETAIL_STATUS", codes)
     return rows.select(*[c.alias(n) for n, c in columns.items()])
 
 

@@ -32,6 +32,7 @@ from tallybook.operators.summary import MatchColumns, match_summary
 from tallybook.plans.hub_extract import applications_elsewhere, hub_extract
 from tallybook.plans.result import Result
 from tallybook.plans.vendor_input import prepare_vendor
+from tallybook.sources.staging import staged
 from tallybook.sources.tables import Tables
 
 # Result columns, in order. Bill columns are left out for two services.
@@ -186,8 +187,14 @@ def reconcile_service(
     key_mode: str = "strip",
     only_window: bool = False,
     validate: bool = False,
+    stage: bool = False,
 ) -> Result:
-    """Raw vendor file and internal tables to buckets and counts, for the thirteen common services."""
+    """Raw vendor file and internal tables to buckets and counts, for the thirteen common services.
+
+    The buckets read each side several times. ``stage`` computes the prepared
+    sides once and keeps them in the cluster's shared folder, which pays as soon
+    as the extract is more than a scan. It starts the two writing jobs.
+    """
     vendor = prepare_vendor(
         vendor_file, service, transaction_type, (start, end) if only_window else None
     )
@@ -198,7 +205,9 @@ def reconcile_service(
     if service == RESCUED_SERVICE:
         elsewhere = applications_elsewhere(tables, start, end)
     # Vendor files may carry columns named like hub columns; only the canonical ones are used.
-    canonical = ["REFID", "VENDOR_DATE", "VENDOR_STATUS", "VENDOR_AMOUNT"]
-    return reconcile(
-        hub, select_existing(vendor, canonical), service, key_mode, elsewhere
+    vendor = select_existing(
+        vendor, ["REFID", "VENDOR_DATE", "VENDOR_STATUS", "VENDOR_AMOUNT"]
     )
+    if stage:
+        hub, vendor = staged(hub), staged(vendor)
+    return reconcile(hub, vendor, service, key_mode, elsewhere)

@@ -245,3 +245,10 @@ def test_unknown_member_list(source):
         members.member_list(tables(source), "I-NET TN Users", "emi-not-paid", "1997-06-01", "1999-03-31")
     with pytest.raises(UnknownServiceError):
         members.expiry_list(tables(source), "nope")
+
+
+def test_staged_sides_give_the_same_result(source):
+    tables, file = tables_for(source, "RECHARGE"), raw_vendor(source, "RECHARGE")
+    want = rows_of(reconcile("RECHARGE", file, tables, START, END).sizes())
+    result = reconcile("RECHARGE", file, tables, START, END, stage=True)
+    assert rows_of(result.sizes()) == want

@@ -85,3 +85,16 @@ def test_bucket_and_sorted_sinks(spark, frame, tmp_path):
     assert spark.read.json(str(tmp_path / "j")).count() == 3
     sinks.write_sorted(df, str(tmp_path / "s"), ["v"], fmt="json")
     assert [r["v"] for r in spark.read.json(str(tmp_path / "s")).collect()] == [1, 2, 3]
+
+
+def test_staging_uses_the_shared_folder(spark, frame, monkeypatch):
+    from tallybook.errors import TallyError
+    from tallybook.sources import staging
+
+    df = frame("a int, b string", (1, "x"), (2, None))
+    again = staging.staged(df)
+    assert rows_of(again) == rows_of(df)
+    assert spark.conf.get("spark.checkpoint.dir") in again.inputFiles()[0]
+    monkeypatch.setattr(staging, "SETTING", "spark.no.such.setting")
+    with pytest.raises(TallyError, match="shared folder"):
+        staging.staged(df)

@@ -86,36 +86,47 @@ def two_link_flags(
     """Flags per hub reference from wallet entries that point to it in either of two ways.
 
     An entry names the tenant's transaction id, or the hub reference, or both.
-    Each way is an equi-join of two already grouped sides; the two results are
-    folded together by hub reference, which also fills the tenant id in where
-    only one of the ways knows it. Inputs are ``wallet`` (MasterTransactionsId,
-    IHubReferenceId, Description) and ``master`` (TransactionRefNum,
-    TenantMasterTransactionId), both already cut to their windows.
+    Wallet and master are each read once: a row is turned into one row per link
+    it has, both sides are grouped by link, and one equi-join brings them
+    together. The two answers for a hub reference are then folded, which also
+    fills the tenant id in where only one of the links knows it. Inputs are
+    ``wallet`` (MasterTransactionsId, IHubReferenceId, Description) and
+    ``master`` (TransactionRefNum, TenantMasterTransactionId), both already cut
+    to their windows.
     """
-    by_tenant_id = (
-        wallet.where(F.col("MasterTransactionsId").isNotNull())
-        .groupBy("MasterTransactionsId")
-        .agg(*flag_aggregates(flags))
-        .join(
-            master.where(F.col("TenantMasterTransactionId").isNotNull())
-            .groupBy(F.col("TenantMasterTransactionId").alias("MasterTransactionsId"))
-            .agg(F.max("TransactionRefNum").alias("IHubReferenceId")),
-            "MasterTransactionsId",
-        )
-    )
-    by_reference = (
-        wallet.where(F.col("IHubReferenceId").isNotNull())
-        .groupBy("IHubReferenceId")
+    link = ["__kind", "__key"]
+    entries = (
+        _by_link(wallet, "MasterTransactionsId", "IHubReferenceId")
+        .groupBy(*link)
         .agg(
             F.max("MasterTransactionsId").alias("MasterTransactionsId"),
             *flag_aggregates(flags),
         )
-        .join(
-            master.select(F.col("TransactionRefNum").alias("IHubReferenceId")).distinct(),
-            "IHubReferenceId",
-        )
     )
-    return fold_null_ids(by_tenant_id.unionByName(by_reference), flags)
+    references = (
+        _by_link(master, "TenantMasterTransactionId", "TransactionRefNum")
+        .groupBy(*link)
+        .agg(F.max("TransactionRefNum").alias("IHubReferenceId"))
+    )
+    return fold_null_ids(entries.join(references, link), flags)
+
+
+def _by_link(df: DataFrame, tenant_id: str, reference: str) -> DataFrame:
+    """One row per usable link: ``T`` with the tenant's id, ``R`` with the hub reference."""
+    links = F.array(
+        F.struct(
+            F.lit("T").alias("kind"), as_col(tenant_id).cast("string").alias("key")
+        ),
+        F.struct(
+            F.lit("R").alias("kind"), as_col(reference).cast("string").alias("key")
+        ),
+    )
+    rows = df.withColumn("__link", F.explode(links))
+    return rows.select(
+        *df.columns,
+        F.col("__link.kind").alias("__kind"),
+        F.col("__link.key").alias("__key"),
+    ).where(F.col("__key").isNotNull())
 
 
 def fold_null_ids(

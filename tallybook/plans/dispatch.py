@@ -34,7 +34,8 @@ def reconcile(
     """Run the reconciliation of ``service``; the two services that only report give a frame.
 
     ``check_window`` runs one short job that fails early on a file without any
-    row in the window. The file is then reconciled as a whole.
+    row in the window. The file is then reconciled as a whole. ``stage`` writes
+    intermediate sides that several buckets read to the cluster's shared folder.
     """
     if service == TICKET_SERVICE:
         return ticket_wallet_report(tables, start, end)
@@ -45,11 +46,13 @@ def reconcile(
         if not has_rows_in_window(prepared, start, end):
             raise EmptyWindowError(f"{service}: no vendor row from {start} to {end}")
     if service == qr_recon.SERVICE:
-        return qr_recon.reconcile_qr(vendor_file, tables, start, end)
+        return qr_recon.reconcile_qr(vendor_file, tables, start, end, stage)
     if service == transfer_recon.SERVICE:
-        return transfer_recon.reconcile_transfers(vendor_file, tables, start, end)
+        return transfer_recon.reconcile_transfers(
+            vendor_file, tables, start, end, stage=stage
+        )
     if service in REQUEST_SERVICES:
-        return reconcile_requests(service, vendor_file, tables, start, end)
+        return reconcile_requests(service, vendor_file, tables, start, end, stage)
     return reconcile_service(
         service, vendor_file, tables, start, end, transaction_type, stage=stage
     )

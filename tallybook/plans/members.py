@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,12 +91,35 @@ def expiry_list(tables: Tables, name: str, as_of: Day | None = None) -> DataFram
 
 
 def expiry_report(tables: Tables, as_of: Day | None = None) -> DataFrame:
-    """All six lists in one frame, told apart by ``LIST``."""
-    parts = [
-        expiry_list(tables, name, as_of).withColumn("LIST", F.lit(name))
-        for name in EXPIRY_LISTS
-    ]
-    return union_aligned(*parts)
+    """All six lists in one frame, told apart by ``LIST``.
+
+    Packages and users are joined once; each row is then repeated for every
+    list it belongs to.
+    """
+    day = dt.date.today() if as_of is None else to_day(as_of)
+    windows = [spec.when(F.col("ExpireTs"), day) for spec in EXPIRY_LISTS.values()]
+    bought = tables["UserPurchasedPackage"].where(reduce(Column.__or__, windows))
+    rows = bought.join(_users(tables, ROLE_CENTRE), F.col("UserId") == F.col("id"))
+
+    def member_of(name: str, spec: ExpiryList) -> Column:
+        test = spec.when(F.col("ExpireTs"), day)
+        if spec.packages:
+            test = test & F.col("PackageId").isin(*spec.packages)
+        if spec.name_pattern:
+            test = test & like_text("UserName", spec.name_pattern)
+        return F.when(test, F.lit(name))
+
+    lists = F.array_compact(F.array(*[member_of(n, s) for n, s in EXPIRY_LISTS.items()]))
+    with_id = [n for n, s in EXPIRY_LISTS.items() if s.with_centre_id]
+    return rows.withColumn("LIST", F.explode(lists)).select(
+        "LIST",
+        "UserName",
+        "FirstName",
+        F.when(F.col("LIST").isin(*with_id), F.col("VleId")).alias("VleId"),
+        "MobileNo",
+        "Email",
+        F.col("ExpireTs").cast("date").alias("Expiry_Date"),
+    )
 
 
 def _package_users(

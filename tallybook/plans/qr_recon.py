@@ -31,6 +31,7 @@ from tallybook.operators.summary import count_frame, pair_counts
 from tallybook.operators.wallet import TOPUP_CREDIT
 from tallybook.plans.result import Result
 from tallybook.plans.vendor_input import prepare_vendor
+from tallybook.sources.staging import staged
 from tallybook.sources.tables import Tables
 
 SERVICE = "UPIQR"
@@ -193,13 +194,20 @@ def qr_counts(enriched: DataFrame, vendor: DataFrame) -> DataFrame:
     )
 
 
-def reconcile_qr(vendor_file: DataFrame, tables: Tables, start: Day, end: Day) -> Result:
+def reconcile_qr(
+    vendor_file: DataFrame, tables: Tables, start: Day, end: Day, stage: bool = False
+) -> Result:
+    """``stage`` keeps the payments, bare and with their credits, in the shared folder."""
     vendor = select_existing(
         prepare_vendor(vendor_file, SERVICE),
         ["REFID", "Unique_ID", "VENDOR_DATE", "VENDOR_STATUS", "VENDOR_AMOUNT"],
     )
     hub = qr_transactions(tables, start, end)
+    if stage:
+        hub = staged(hub)
     enriched = with_wallet_credit(hub, wallet_credits(tables, start, end))
+    if stage:
+        enriched = staged(enriched)
     return Result(
         buckets=qr_buckets(enriched, hub, vendor),
         counts=qr_counts(enriched, vendor),

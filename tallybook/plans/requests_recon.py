@@ -31,6 +31,7 @@ from tallybook.operators.rules import (
 from tallybook.operators.summary import count_frame, pair_counts
 from tallybook.plans.result import Result
 from tallybook.plans.vendor_input import prepare_vendor
+from tallybook.sources.staging import staged
 from tallybook.sources.tables import Tables
 
 # Result columns, in order.
@@ -295,14 +296,24 @@ def found_on_other_date(
 
 
 def reconcile_requests(
-    service: str, vendor_file: DataFrame, tables: Tables, start: Day, end: Day
+    service: str,
+    vendor_file: DataFrame,
+    tables: Tables,
+    start: Day,
+    end: Day,
+    stage: bool = False,
 ) -> Result:
+    """``stage`` keeps the chosen requests, which every bucket reads, in the shared folder."""
     spec = request_service(service)
     vendor = select_existing(
         prepare_vendor(vendor_file, service), ["REFID", "VENDOR_DATE", "VENDOR_STATUS"]
     )
     hub = requests_in_window(tables, service, start, end)
+    if stage:
+        hub = staged(hub)
     drifted = found_on_other_date(tables, service, vendor, hub)
+    if stage:
+        drifted = staged(drifted)
     return assemble(hub, vendor, drifted, spec.columns)
 
 

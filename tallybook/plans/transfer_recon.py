@@ -15,6 +15,7 @@ from tallybook.operators.summary import MatchColumns, match_summary
 from tallybook.plans.hub_recon import buckets
 from tallybook.plans.result import Result
 from tallybook.plans.vendor_input import prepare_vendor
+from tallybook.sources.staging import staged
 from tallybook.sources.tables import Tables
 
 SERVICE = "IMPS"
@@ -58,12 +59,16 @@ def reconcile_transfers(
     start: Day,
     end: Day,
     key_mode: str = "strip",
+    stage: bool = False,
 ) -> Result:
+    """``stage`` keeps the transfers in the shared folder."""
     vendor = select_existing(
         prepare_vendor(vendor_file, SERVICE),
         ["REFID", "VENDOR_DATE", "VENDOR_STATUS", "VENDOR_AMOUNT"],
     )
     hub = transfers(tables, start, end)
+    if stage:
+        hub = staged(hub)
     return Result(
         buckets=buckets(hub, vendor, RESULT_COLUMNS, TRANSFER_RULES, COLUMNS, key_mode),
         counts=match_summary(

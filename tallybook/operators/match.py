@@ -54,7 +54,12 @@ def own_shuffle(grouped: DataFrame, key: str) -> DataFrame:
     ``greatest`` of the key with itself is the key, yet hides the partitioning,
     so the join gets a shuffle of its own.
     """
-    return grouped.withColumn(key, F.greatest(as_col(key), as_col(key)))
+    return grouped.withColumn(key, opaque(key))
+
+
+def opaque(key: str) -> Column:
+    """The key itself, in a form that does not show how its frame is partitioned."""
+    return F.greatest(as_col(key), as_col(key))
 
 
 def join_keys(

@@ -21,7 +21,7 @@ from tallybook.operators.filters import (
     looks_failed,
     says_failed,
 )
-from tallybook.operators.match import exact, inner_match, missing_from
+from tallybook.operators.match import exact, inner_match, missing_from, opaque
 from tallybook.plans.ledger_common import (
     AMOUNT_MISMATCH,
     CREDIT_NOT_IN_STATEMENT,
@@ -96,10 +96,13 @@ def refund_entries(ledger: DataFrame) -> DataFrame:
 
 
 def refund_amount_check(failed: DataFrame, refunds: DataFrame) -> DataFrame:
-    """Failed rows with each of their refunds and whether the full amount came back."""
-    return inner_match(
-        failed, refunds.drop("ACTUAL_TRANS_DATE"), "LEDGER_REF", "REF_NUMBER", exact
-    ).withColumn(
+    """Failed rows with each of their refunds and whether the full amount came back.
+
+    The failed rows come from a join on the same reference and are shuffled once
+    more, so that a reference with very many refunds can be split.
+    """
+    same = opaque("LEDGER_REF") == F.col("REF_NUMBER")
+    return failed.join(refunds.drop("ACTUAL_TRANS_DATE"), same).withColumn(
         "REFUND_AGREES", amounts_equal("REFUNDED_AMOUNT", to_number("AMOUNT_STATEMENT"))
     )
 

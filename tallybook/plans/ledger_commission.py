@@ -9,7 +9,13 @@ from tallybook.functions._cols import as_col
 from tallybook.functions.numbers import amounts_equal, to_decimal
 from tallybook.functions.text import key_of, strip
 from tallybook.operators.columns import upper_headers
-from tallybook.operators.match import drop_explained, exact, inner_match, missing_from
+from tallybook.operators.match import (
+    drop_explained,
+    exact,
+    inner_match,
+    missing_from,
+    opaque,
+)
 from tallybook.plans.ledger_common import (
     AMOUNT_MISMATCH,
     MATCHED_NO_COMMISSION,
@@ -58,7 +64,11 @@ def prepare(ledger: DataFrame, statement: DataFrame) -> tuple[DataFrame, DataFra
 
 
 def children(parents: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Parent rows joined to the ledger rows that name them as their reference."""
+    """Parent rows joined to the ledger rows that name them as their reference.
+
+    Parents come from a join on the same id. They are shuffled once more, since
+    a reference that very many rows name can only be split that way.
+    """
     child = candidates.select(
         F.col("LDG_TID").alias("COMMISSION_TID"),
         F.col("PARENT_TID").alias("CHILD_OF"),
@@ -66,7 +76,7 @@ def children(parents: DataFrame, candidates: DataFrame) -> DataFrame:
     )
     return (
         parents.drop("COMM_AMT")
-        .join(child, F.col("LDG_TID") == F.col("CHILD_OF"))
+        .join(child, opaque("LDG_TID") == F.col("CHILD_OF"))
         .withColumnRenamed("CHILD_AMT", "COMM_AMT")
     )
 

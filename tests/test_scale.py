@@ -66,6 +66,31 @@ def test_hot_key_join_is_split(spark, conf, kind):
     assert "skew=true" in plan(ran)
 
 
+def test_hot_parent_is_split(spark, conf):
+    from tallybook.plans.ledger_commission import children
+
+    conf(
+        **NO_BROADCAST,
+        **{
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "500kb",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500kb",
+            "spark.sql.shuffle.partitions": "12",
+        },
+    )
+    ids = spark.range(999).select(F.concat(F.lit("K"), F.col("id")).alias("LDG_TID"))
+    ids = ids.unionByName(spark.range(1).select(F.lit("HOT").alias("LDG_TID")))
+    statement = ids.withColumnRenamed("LDG_TID", "STMT_TID")
+    parents = match.inner_match(ids, statement, "LDG_TID", "STMT_TID", match.exact)
+    parents = parents.withColumn("COMM_AMT", F.lit(0))
+    rows = hot(spark, 300_000, "PARENT_TID", "id").select(
+        F.sha2(F.col("id").cast("string"), 256).alias("LDG_TID"), "PARENT_TID", F.col("id").alias("COMM_AMT")
+    )
+    ran = children(parents, rows).agg(F.count("*"), F.max("COMMISSION_TID"))
+    assert ran.collect()[0][0] == 100_666
+    assert "skew=true" in plan(ran)
+
+
 def test_summary_shuffles_each_side_once(spark, source, conf):
     conf(**NO_BROADCAST)
     hub = spark.range(1000).selectExpr(

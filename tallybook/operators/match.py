@@ -161,6 +161,31 @@ def outer_split(
     )
 
 
+def three_way(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    form: KeyForm = stripped,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(pairs, left only, right only)``.
+
+    Rows without a usable key are set aside first. They need no shuffle, and
+    the rest of a side then reaches the match and its anti join through the same
+    shuffle, which Spark runs once if both read the same columns.
+    """
+    usable_left, usable_right = form(left_key).isNotNull(), form(right_key).isNotNull()
+    l, r = left.where(usable_left), right.where(usable_right)
+    pairs = inner_match(l, r, left_key, right_key, form)
+    left_only = missing_from(l, r, left_key, right_key, form)
+    right_only = missing_from(r, l, right_key, left_key, form)
+    return (
+        pairs,
+        left_only.unionByName(left.where(~usable_left)),
+        right_only.unionByName(right.where(~usable_right)),
+    )
+
+
 def lookup(
     left: DataFrame,
     dimension: DataFrame,

@@ -17,6 +17,7 @@ from tallybook.operators.match import (
     inner_match,
     missing_from,
     stripped,
+    three_way,
 )
 from tallybook.operators.rules import (
     LEDGER_RULES,
@@ -140,10 +141,14 @@ def buckets(
 ) -> DataFrame:
     """Every matched pair and every unmatched row, once, under its ``CATEGORY``."""
     names = ["CATEGORY", *columns]
-    matched = matched_rows(hub, vendor, rules, cols, key_mode)
-    hub_only = not_in_vendor(hub, vendor, cols).withColumnRenamed(cols.hub_key, "REFID")
-    vendor_only = not_in_portal(hub, vendor, cols, key_mode)
-    parts = [matched, tagged(hub_only, NOT_IN_VENDOR)]
+    matched, hub_only, vendor_only = three_way(
+        hub, vendor, cols.hub_key, cols.vendor_key, match_form(key_mode)
+    )
+    if key_mode != "strip":
+        hub_only = not_in_vendor(hub, vendor, cols)
+    bucket = classify(rules, cols.vendor_status, cols.hub_status, cols.ledger)
+    hub_only = hub_only.withColumnRenamed(cols.hub_key, "REFID")
+    parts = [matched.withColumn("CATEGORY", bucket), tagged(hub_only, NOT_IN_VENDOR)]
     if elsewhere is not None:
         found, vendor_only = rescue(vendor_only, elsewhere, key_mode)
         parts.append(tagged(found, MATCHED_ELSEWHERE))

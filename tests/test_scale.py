@@ -116,6 +116,26 @@ def test_summary_is_exact_for_hot_keys(spark):
     assert got["VEND_SUC_IHUB_FAIL"] == 500 * 1000 + 1000
 
 
+def test_match_and_missing_rows_share_the_shuffle(spark, conf):
+    from tallybook.plans.hub_recon import buckets
+    from tallybook.sources.staging import staged
+
+    conf(**NO_BROADCAST)
+    hub = staged(
+        hot(spark, 3000, "VENDOR_REFERENCE", "IHUB_REFERENCE").selectExpr(
+            "*", "'success' IHUB_MASTER_STATUS", "'Yes' IHUB_LEDGER_STATUS"
+        )
+    )
+    vendor = staged(spark.range(500).selectExpr("concat('K', id) REFID", "'success' VENDOR_STATUS"))
+    columns = [
+        "IHUB_REFERENCE", "REFID", "IHUB_MASTER_STATUS", "IHUB_LEDGER_STATUS", "VENDOR_STATUS",
+    ]
+    ran = buckets(hub, vendor, columns)
+    assert rows_of(ran.groupBy("CATEGORY").count()) == [("NOT_IN_PORTAL", 167), ("NOT_IN_VENDOR", 2667), ("VEND_IHUB_SUC", 333)]
+    ran.collect()
+    assert plan(ran).split("Initial Plan")[0].count("ReusedExchange") >= 2
+
+
 def test_one_row_per_key_is_reduced_before_the_shuffle(spark):
     text = plan(latest.keep_first(hot(spark, 1000, "k", "v"), "k", "v"))
     assert "partial_min_by" in text

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallybook.llm.language_id import language_report
+from tallybook.llm.quality_rules import quality_report
 from tallybook.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,12 +17,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op6_simhash": op6_simhash}
+    return {
+        "op1_quality_rules": op1_quality_rules,
+        "op3_language_id": op3_language_id,
+        "op6_simhash": op6_simhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

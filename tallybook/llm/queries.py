@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallybook.llm.decontaminate import contaminated_pairs
 from tallybook.llm.language_id import language_report
+from tallybook.llm.packing import pack_texts
 from tallybook.llm.quality_rules import quality_report
 from tallybook.llm.simhash import near_duplicates
 
@@ -29,11 +31,22 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contaminated_pairs(documents, table(spark, sf_dir, "benchmark"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_texts(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op3_language_id": op3_language_id,
         "op6_simhash": op6_simhash,
+        "op8_decontamination": op8_decontamination,
+        "op9_packing": op9_packing,
     }
 
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.shared import fresh, saved
+from tallybook.llm.shared import Pieces, fresh, saved
 
 #: Template tokens of a window; items with fewer are matched whole.
 WINDOW = 8
@@ -44,72 +44,142 @@ UNITS = (
     "degrees % $ € £ ° c f k hz khz mhz ghz w kw v j n pa kb mb gb tb"
 )
 _UNITS = frozenset(UNITS.split())
-_TOKEN = re.compile(r"(\d+(?:[.,:/]\d+)*)|([^\W\d_]+(?:['’][^\W\d_]+)*)|([%$€£°])|([.!?\n]+)")
-_NUMBER, _NAME, _UNIT = "\x01n", "\x01p", "\x01u"
-
-
-def template(text: str | None) -> tuple[list[str], list[str | None]]:
-    """The template's tokens, and for each placeholder the lower-case value it stands for.
-
-    A number is digits; a unit is a known word or sign after a number, or a sign
-    before one; a name is a capitalised word that does not begin a sentence.
-    Other words are lower-cased; punctuation only ends sentences.
+_TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[%$€£°]|[.!?\n]+").findall
+_PIECE = 1 << 20
+# What a token is, in the low bits of its code; the others are a hash of its lower case.
+_WORD, _CAPITAL, _NUMBER, _SIGN, _END, _UNIT_WORD, _UNIT_CAPITAL = range(7)
+_KIND = np.uint64(7)
+# Template tokens of placeholders; words are hashes with low bits of zero.
+_SLOT_NUMBER, _SLOT_UNIT, _SLOT_NAME = 1, 2, 3
+_MULTIPLIER = 0x9E3779B97F4A7C15
+
+
+def _code(token: str) -> int:
+    low = token.lower()
+    first = token[0]
+    if first.isdigit():
+        kind = _NUMBER
+    elif first in "%$€£°":
+        kind = _SIGN
+    elif first in ".!?\n":
+        kind = _END
+    else:
+        capital = first.isupper() and not (token.isupper() and len(token) > 1)
+        kind = (_UNIT_WORD if low in _UNITS else _WORD) + (capital and 1)
+    return xxhash.xxh64_intdigest(low) & ~7 | kind
+
+
+_codes = Pieces(_code)
+
+
+def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(template tokens, hashes of the words themselves, whether it is a placeholder).
+
+    A number is digits; a unit is a known word after a number, or a sign; a name is a
+    capitalised word that does not begin a sentence. Other words are lower-cased;
+    punctuation only ends sentences. Long texts are read in pieces that end at a space.
     """
-    tokens: list[str] = []
-    slots: list[str | None] = []
-    begins = True
-    for m in _TOKEN.finditer(text or ""):
-        kind, value = m.lastindex, m[0]
-        if kind == 4:
-            begins = True
-            continue
-        low = value.lower()
-        if kind == 1:
-            token = _NUMBER
-        elif (low in _UNITS and tokens and tokens[-1] == _NUMBER) or kind == 3:
-            token = _UNIT
-        elif not begins and value[0].isupper() and not value.isupper():
-            token = _NAME
-        else:
-            token = low
-        tokens.append(token)
-        slots.append(low if token[0] == "\x01" else None)
-        begins = False
-    return tokens, slots
+    text, at, parts = text or "", 0, [np.zeros(0, np.uint64)]
+    while at < len(text):
+        cut = text.find(" ", at + _PIECE) if at + _PIECE < len(text) else -1
+        piece = text[at:] if cut < 0 else text[at:cut]
+        at = len(text) if cut < 0 else cut
+        tokens = _TOKEN(piece)
+        parts.append(np.fromiter(map(_codes.__getitem__, tokens), np.uint64, len(tokens)))
+    codes = np.concatenate(parts)
+    kind = (codes & _KIND).astype(np.int8)
+    ends = kind == _END
+    begins = np.ones(len(codes), bool)
+    begins[1:] = ends[:-1]
+    codes, kind, begins = codes[~ends], kind[~ends], begins[~ends]
+    words = codes & ~_KIND
+    out = words.copy()
+    number = kind == _NUMBER
+    after = np.zeros(len(codes), bool)
+    after[1:] = number[:-1]
+    unit = (after & (kind >= _UNIT_WORD)) | (kind == _SIGN)
+    name = ~begins & ~unit & ((kind == _CAPITAL) | (kind == _UNIT_CAPITAL))
+    for which, slot in ((number, _SLOT_NUMBER), (unit, _SLOT_UNIT), (name, _SLOT_NAME)):
+        out[which] = slot
+    return out, words, number | unit | name
+
+
+def _rolling(values: np.ndarray, size: int) -> np.ndarray:
+    n = max(0, len(values) - size + 1)
+    total = np.zeros(n, np.uint64)
+    for k in range(size):
+        total = total * np.uint64(_MULTIPLIER) + _mix(values[k : k + n])
+    return total
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
 
 
 def windows(
-    text: str | None, sizes: tuple[int, ...], have: frozenset | None = None
+    text: str | None, sizes: tuple[int, ...], known: Known | None = None
 ) -> Iterator[tuple]:
     """(hash, position, size, slots) of the windows of a text's template.
 
-    ``sizes``: the window lengths; ``have``: the hashes that matter, all if None. Slots are the values
-    of the placeholders in order. A window with too few words has them hashed with it, so
-    that it matches literally only. A window that begins with a name is also given
-    with the word itself, as it may begin a sentence elsewhere. Lengths below ``LEAST_TOKENS`` are
-    matched with whole texts only, as such items would be in any text.
+    ``sizes``: the window lengths; ``known``: the hashes that matter, all if None. Slots are
+    hashes of what the placeholders stand for, in order. A window with too few words has
+    these hashed with it, so that it matches literally only. A window that begins with a
+    name is also given with the word itself, as it may begin a sentence elsewhere. Lengths
+    below ``LEAST_TOKENS`` are matched with whole texts only.
     """
-    tokens, slots = template(text)
-    plain = not any(slots)
-    digest = xxhash.xxh64_intdigest
+    all_tokens, all_words, all_slots = template(text)
+    n = len(all_tokens)
     for size in sizes:
-        if size < LEAST_TOKENS and size != len(tokens):
+        if size < LEAST_TOKENS and size != n:
             continue
-        for i in range(len(tokens) - size + 1):
-            part = tokens[i : i + size]
-            own: list[str] = [] if plain else [s for s in slots[i : i + size] if s is not None]
-            for k in range(2 if own and tokens[i] == _NAME else 1):
-                if k:
-                    part, own = [own[0], *tokens[i + 1 : i + size]], own[1:]
-                few = own and size - len(own) < min(LEAST_WORDS, size)
-                h = digest(" ".join(part + own if few else part))
-                if h >> 63:
-                    h -= 1 << 64
-                if have is None or h in have:
-                    yield h, i, size, own
-
-
-_SCHEMA = "hash long, position int, size int, slots array<string>"
+        for at in range(0, n - size + 1, _BLOCK):
+            # blocks overlap by what a window takes in
+            part = slice(at, min(n, at + _BLOCK + size - 1))
+            tokens, words, slots = all_tokens[part], all_words[part], all_slots[part]
+            as_template, literal = _rolling(tokens, size), _rolling(words, size)
+            sums = np.concatenate([[0], np.cumsum(slots)])
+            placeholders = sums[size:] - sums[:-size]
+            first = tokens[: len(as_template)] == _SLOT_NAME
+            top = np.uint64(pow(_MULTIPLIER, size - 1, 1 << 64))
+            lead = (_mix(words[: len(first)]) - _mix(tokens[: len(first)])) * top
+            for template_hash, held, given in (
+                (as_template, placeholders, None),
+                (as_template + lead, placeholders - 1, first),
+            ):
+                few = (held > 0) & (size - held < min(LEAST_WORDS, size))
+                h = _mix(np.where(few, _mix(template_hash) ^ literal, template_hash))
+                wanted = np.ones(len(h), bool) if known is None else known.has(h)
+                for i in np.flatnonzero(wanted if given is None else wanted & given):
+                    begin = i + (given is not None)
+                    own = words[begin : i + size][slots[begin : i + size]]
+                    yield int(h[i].view(np.int64)), at + int(i), size, own.view(np.int64).tolist()
+
+
+_BLOCK = 1 << 18
+
+
+class Known:
+    """A set of hashes that is quick to ask for many at once."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self._sorted = np.sort(hashes.view(np.uint64))
+        self._sieve = np.zeros(1 << 22, bool)
+        self._sieve[self._slot(self._sorted)] = True
+
+    @staticmethod
+    def _slot(h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(42)).astype(np.int64)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        out = self._sieve[self._slot(h)]
+        maybe = np.flatnonzero(out)
+        at = np.searchsorted(self._sorted, h[maybe])
+        out[maybe] = self._sorted[np.minimum(at, len(self._sorted) - 1)] == h[maybe]
+        return out
+
+
+_SCHEMA = "hash long, position int, size int, slots array<bigint>"
 
 
 def benchmark_windows(benchmark: DataFrame, text: str = "text", key: str = "item_id") -> DataFrame:
@@ -130,23 +200,23 @@ def benchmark_windows(benchmark: DataFrame, text: str = "text", key: str = "item
     ).where("item_id is not null")
     return rows.mapInPandas(
         split,
-        "item_id long, n_tokens int, hash long, item_position int, size int, item_slots array<string>",
+        "item_id long, n_tokens int, hash long, item_position int, size int, item_slots array<bigint>",
     )
 
 
-def text_windows(rows: DataFrame, sizes: tuple[int, ...], known: np.ndarray | None) -> DataFrame:
+def text_windows(rows: DataFrame, sizes: tuple[int, ...], hashes: np.ndarray | None) -> DataFrame:
     """(id, part, hash, position, size, slots) of the windows of rows (id, part, text).
 
-    With ``known``, a sorted array of hashes, other windows are left out.
+    With ``hashes``, other windows are left out.
     """
-    sent = rows.sparkSession.sparkContext.broadcast(known)
+    sent = rows.sparkSession.sparkContext.broadcast(hashes)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        have = None if sent.value is None else frozenset(sent.value.tolist())
+        known = None if sent.value is None else Known(sent.value)
         for b in batches:
             for key, part, t in zip(b["id"], b["part"], b["text"], strict=True):
                 held: list[tuple] = []
-                for w in windows(t, sizes, have):
+                for w in windows(t, sizes, known):
                     held.append(w)
                     if len(held) == PIECE_TOKENS:
                         yield _frame(key, part, held)
@@ -171,10 +241,10 @@ def contaminations(
     items = saved(benchmark_windows(benchmark), "items")
     sizes = tuple(sorted(r["size"] for r in items.select("size").distinct().collect()))
     different = items.select("hash").distinct()
-    known = None
+    hashes = None
     if different.count() <= SENT_WINDOWS:
-        known = np.sort(different.toPandas()["hash"].to_numpy(np.int64))
-    hits = text_windows(rows, sizes, known).join(items, ["hash", "size"])
+        hashes = different.toPandas()["hash"].to_numpy(np.int64)
+    hits = text_windows(rows, sizes, hashes).join(items, ["hash", "size"])
     # windows of one placement of the item in the text have one difference of positions
     one = ["id", "part", "item_id", "n_tokens", "shift"]
     pairs = F.arrays_zip("item_slots", "slots")

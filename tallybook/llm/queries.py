@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.llm.decontaminate import contaminated_pairs
@@ -11,6 +12,8 @@ from tallybook.llm.language_id import language_report
 from tallybook.llm.packing import pack_texts
 from tallybook.llm.quality_rules import quality_report
 from tallybook.llm.simhash import near_duplicates
+from tallybook.llm.token_counts import token_report
+from tallybook.llm.token_files import token_file_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +30,16 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_report(documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_file_report(documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -44,6 +57,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op3_language_id": op3_language_id,
+        "op4_token_counts": op4_token_counts,
+        "op5_token_files": op5_token_files,
         "op6_simhash": op6_simhash,
         "op8_decontamination": op8_decontamination,
         "op9_packing": op9_packing,

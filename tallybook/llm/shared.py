@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,8 @@ from tallybook.errors import TallyError
 SETTING = "spark.checkpoint.dir"
 #: Words of a text: whatever white space in ASCII does not separate.
 WORD_SPACE = " \t\n\x0b\x0c\r"
+#: Remembered pieces of text of a worker process; some 60 MB. When full, it starts anew.
+REMEMBERED = 300_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,3 +56,17 @@ def fresh(names: Iterable[str], wanted: str) -> str:
         wanted = f"_{wanted}"
     return wanted
 
+
+
+class Pieces(dict):
+    """piece -> value, computed on first use."""
+
+    def __init__(self, compute: Callable) -> None:
+        super().__init__()
+        self._compute = compute
+
+    def __missing__(self, piece: str):
+        if len(self) >= REMEMBERED:
+            self.clear()
+        value = self[piece] = self._compute(piece)
+        return value

@@ -14,6 +14,8 @@ from tallybook.llm.quality_rules import quality_report
 from tallybook.llm.simhash import near_duplicates
 from tallybook.llm.token_counts import token_report
 from tallybook.llm.token_files import token_file_report
+from tallybook.llm.url_filter import judge_urls
+from tallybook.llm.warc import archive_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +46,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_report(table(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return contaminated_pairs(documents, table(spark, sf_dir, "benchmark"))
@@ -53,6 +59,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_texts(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -60,10 +70,33 @@ def queries() -> dict[str, Query]:
         "op4_token_counts": op4_token_counts,
         "op5_token_files": op5_token_files,
         "op6_simhash": op6_simhash,
+        "op7_warc": op7_warc,
         "op8_decontamination": op8_decontamination,
         "op9_packing": op9_packing,
+        "op10_url_filter": op10_url_filter,
     }
 
 
+#: SHA-1 in base32: five bits of the digest a letter.
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), bits AS (
+  SELECT hex, unhex(hex)::BIT::VARCHAR AS b FROM (SELECT DISTINCT hex FROM p)
+), digests AS (
+  SELECT hex, list_aggregate(list_transform(range(32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (1 + 16 * substr(b, i * 5 + 1, 1)::INT + 8 * substr(b, i * 5 + 2, 1)::INT
+       + 4 * substr(b, i * 5 + 3, 1)::INT + 2 * substr(b, i * 5 + 4, 1)::INT
+       + substr(b, i * 5 + 5, 1)::INT)::BIGINT, 1)), 'string_agg', '') AS payload_digest
+  FROM bits
+), first AS (SELECT hex, min(page_id) AS first FROM p GROUP BY hex)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN digests USING (hex) JOIN first USING (hex)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_warc": OP7_SQL}

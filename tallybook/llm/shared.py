@@ -15,8 +15,8 @@ from tallybook.errors import TallyError
 SETTING = "spark.checkpoint.dir"
 #: Words of a text: whatever white space in ASCII does not separate.
 WORD_SPACE = " \t\n\x0b\x0c\r"
-#: Remembered pieces of text of a worker process; some 60 MB. When full, it starts anew.
-REMEMBERED = 300_000
+#: Remembered pieces of text of a worker process; some 120 MB. When full, it starts anew.
+REMEMBERED = 600_000
 
 
 def shared_folder(spark: SparkSession) -> str:

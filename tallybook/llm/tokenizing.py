@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from functools import lru_cache
 from importlib.metadata import version
 
@@ -44,11 +45,12 @@ class Encoder:
         self._find = re.compile(_PATTERNS[kind]).findall if kind else None
         self._lower = kind == "word"
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self._type = "H" if self.width.itemsize == 2 else "I"
         self._counts = Pieces(lambda piece: len(self._encode(piece)))
         self._bytes = Pieces(lambda piece: self._encode(piece).tobytes())
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width)
+    def _encode(self, text: str) -> array:
+        return array(self._type, self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _pieces(self, text: str) -> list[str] | None:
         # "<|" could begin a special token

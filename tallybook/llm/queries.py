@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.llm.decontaminate import contaminated_pairs
+from tallybook.llm.html_blocks import extract_main_text
 from tallybook.llm.language_id import language_report
 from tallybook.llm.packing import pack_texts
 from tallybook.llm.quality_rules import quality_report
@@ -28,6 +29,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -66,6 +71,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_html_blocks": op2_html_blocks,
         "op3_language_id": op3_language_id,
         "op4_token_counts": op4_token_counts,
         "op5_token_files": op5_token_files,

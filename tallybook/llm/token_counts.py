@@ -74,7 +74,8 @@ def count_tokens(
         for b in batches:
             yield pd.DataFrame({"content": b["content"], "n_tokens": [count(t) for t in b["text"]]})
 
-    texts.mapInPandas(encode, "content string, n_tokens long").select(
+    # rows that share key and text are encoded each, but cached once
+    texts.mapInPandas(encode, "content string, n_tokens long").distinct().select(
         "content", F.lit(version).alias("tokenizer"), "n_tokens"
     ).write.mode("append").parquet(cache)
     counts = cached_counts(spark, cache, version).groupBy("content").agg(

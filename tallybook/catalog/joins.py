@@ -46,22 +46,28 @@ MAX_FLAGS = ", ".join(f"max({n}) AS {n}" for n in FLAG_WORDS)
 
 
 def wallet_sql(pattern: str, start: str, end: str, skip: str = "") -> str:
-    """CTE ``wallet_flags``: per hub reference the tenant id and four flags, over both links."""
-    window = (
-        f"m.CreationTs >= DATE '{start}' AND m.CreationTs < DATE '{end}' + 1"
-        f" AND w.CreationTs >= DATE '{start}' AND w.CreationTs <= DATE '{end}' + 30"
-        f" AND w.ServiceName ILIKE '{pattern}'"
+    """CTE ``wallet_flags``: per hub reference the tenant id and four flags, over both links.
+
+    A list of (reference, entry) pairs from either link, grouped once. A tenant id that
+    several references share belongs to the greatest of them.
+    """
+    flags = ", ".join(
+        f"CASE WHEN bool_or(Description IN ({words.replace(skip, '') if skip else words}))"
+        f" THEN 'Yes' ELSE 'No' END AS {name}"
+        for name, words in FLAG_WORDS.items()
     )
-    return f"""wallet_flags AS (
-SELECT ref, max(mid) AS mid, {MAX_FLAGS} FROM (
-  SELECT max(m.TransactionRefNum) AS ref, w.MasterTransactionsId AS mid, {flags_sql(skip=skip)}
-  FROM master m JOIN wallet w ON m.TenantMasterTransactionId = w.MasterTransactionsId
-  WHERE {window} GROUP BY w.MasterTransactionsId
-  UNION
-  SELECT m.TransactionRefNum, max(w.MasterTransactionsId), {flags_sql(skip=skip)}
-  FROM master m JOIN wallet w ON m.TransactionRefNum = w.IHubReferenceId
-  WHERE {window} GROUP BY m.TransactionRefNum) both_links
-GROUP BY ref)"""
+    return f"""hub_window AS (SELECT TransactionRefNum AS ref, TenantMasterTransactionId AS tenant
+  FROM master WHERE CAST(CreationTs AS DATE) BETWEEN DATE '{start}' AND DATE '{end}'),
+owners AS (SELECT tenant, max(ref) AS ref FROM hub_window GROUP BY tenant),
+entries AS (SELECT * FROM wallet
+  WHERE CreationTs >= DATE '{start}' AND CreationTs <= DATE '{end}' + 30 AND ServiceName ILIKE '{pattern}'),
+linked AS (
+  SELECT o.ref, e.MasterTransactionsId, e.Description
+  FROM entries e JOIN owners o ON e.MasterTransactionsId = o.tenant
+  UNION ALL
+  SELECT e.IHubReferenceId, e.MasterTransactionsId, e.Description
+  FROM entries e WHERE e.IHubReferenceId IN (SELECT ref FROM hub_window)),
+wallet_flags AS (SELECT ref, max(MasterTransactionsId) AS mid, {flags} FROM linked GROUP BY ref)"""
 
 
 @query(

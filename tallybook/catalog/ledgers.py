@@ -161,11 +161,11 @@ def refund_unlinked(s: Source) -> DataFrame:
 
 SETTLED_VIEWS = ("settled_statement", "settlement_ledger")
 SETTLED_SQL = r"""stm AS (SELECT TRY_CAST(regexp_replace(SETTLED_ID, '\.0$', '') AS BIGINT) AS SETTLED_ID,
-  CAST(AMOUNT AS DECIMAL(18,2)) AS AMOUNT, COMMISSION, STATUS,
+  CAST(AMOUNT AS DECIMAL(38,18)) AS AMOUNT, COMMISSION, STATUS,
   regexp_replace(coalesce(SERIALNUMBER, ''), '\.0$', '') AS SERIALNUMBER,
   coalesce(ACKNO, '') AS ACKNO, regexp_replace(coalesce(UTR, ''), '\.0$', '') AS UTR
   FROM settled_statement),
-led AS (SELECT CAST(SNO AS BIGINT) AS SNO, TXNTYPE, "Type " AS TYPE, CAST(AMOUNT AS DECIMAL(18,2)) AS AMOUNT, DATE
+led AS (SELECT CAST(SNO AS BIGINT) AS SNO, TXNTYPE, "Type " AS TYPE, CAST(AMOUNT AS DECIMAL(38,18)) AS AMOUNT, DATE
   FROM settlement_ledger WHERE TXNTYPE IS NULL OR NOT regexp_matches(lower(TXNTYPE),
     'settlement|merchant two factor authentication charges|ministatement')),
 compared AS (SELECT t.SETTLED_ID, t.total, l.* FROM (SELECT SETTLED_ID, coalesce(sum(AMOUNT), 0) AS total
@@ -326,8 +326,8 @@ def amount_counts(s: Source) -> DataFrame:
 @query(
     "amount_match_split",
     *ATM_VIEWS,
-    sql=f"""WITH {ATM_SQL}, exact AS (SELECT *, TRY_CAST(replace(replace(a.Amount, '₹', ''), ' ', '') AS DECIMAL(18,2)) AS x,
-  TRY_CAST(b.Amount AS DECIMAL(18,2)) AS y FROM (SELECT trim(UTR) AS k, Amount FROM atm_ledger) a
+    sql=f"""WITH {ATM_SQL}, exact AS (SELECT *, TRY_CAST(replace(replace(a.Amount, '₹', ''), ' ', '') AS DECIMAL(38,18)) AS x,
+  TRY_CAST(b.Amount AS DECIMAL(38,18)) AS y FROM (SELECT trim(UTR) AS k, Amount FROM atm_ledger) a
   JOIN (SELECT {_whole("RRN")} AS RRN, Amount FROM atm_statement) b ON a.k = b.RRN WHERE RRN <> '')
 SELECT RRN, CAST(x AS DOUBLE) AS AMOUNT_LEDGER, CAST(y AS DOUBLE) AS AMOUNT_STATEMENT,
   coalesce(x = y, FALSE) AS AGREES FROM exact""",
@@ -477,10 +477,10 @@ def refund_amount_check(s: Source) -> DataFrame:
 
 PREMIUM_VIEWS = ("premium_ledger", "premium_statement")
 PREMIUM_SQL = """led AS (SELECT nullif(trim(TID), '') AS tid, nullif(trim("Reference TID"), '') AS parent,
-  TRY_CAST(trim(DR) AS DECIMAL(18,2)) AS amt, TRY_CAST(trim(CR) AS DECIMAL(18,2)) AS comm, Date AS d
+  TRY_CAST(trim(DR) AS DECIMAL(38,18)) AS amt, TRY_CAST(trim(CR) AS DECIMAL(38,18)) AS comm, Date AS d
   FROM premium_ledger),
-stm AS (SELECT trim(IMWTID) AS stid, TRY_CAST(trim(Amount) AS DECIMAL(18,2)) AS samt, Date AS sd
-  FROM premium_statement WHERE IMWTID IS NOT NULL AND trim(IMWTID) <> 'NA'),
+stm AS (SELECT nullif(trim(IMWTID), 'NA') AS stid, TRY_CAST(trim(Amount) AS DECIMAL(38,18)) AS samt, Date AS sd
+  FROM premium_statement),
 both_sides AS (SELECT *, coalesce(amt = samt, FALSE) AS agrees FROM led JOIN stm ON tid = stid),
 ledger_only AS (SELECT * FROM led WHERE NOT EXISTS (SELECT 1 FROM stm WHERE stid = tid)),
 paired AS (SELECT b.*, c.tid AS ctid, c.comm AS ccomm FROM both_sides b
@@ -489,11 +489,12 @@ PREMIUM_ROWS = """
 SELECT CASE WHEN agrees THEN 'matching_trans' ELSE 'amount_mismatch' END AS CATEGORY,
   tid AS LDG_TID, ctid AS COMMISSION_TID, CAST(ccomm AS DOUBLE) AS COMM_AMT, CAST(amt AS DOUBLE) AS LDG_AMOUNT,
   CAST(samt AS DOUBLE) AS STMT_AMOUNT, d AS DATE FROM paired
-UNION ALL SELECT 'MATCHED_NO_COMMISSION', tid, NULL, comm, amt, samt, d FROM both_sides b
+UNION ALL SELECT CASE WHEN agrees THEN 'MATCHED_NO_COMMISSION' ELSE 'amount_mismatch' END, tid, NULL, comm, amt, samt, d FROM both_sides b
 WHERE NOT EXISTS (SELECT 1 FROM ledger_only c WHERE c.parent = b.tid)
 UNION ALL SELECT 'not_in_statement', tid, NULL, comm, amt, NULL, d FROM ledger_only l
 WHERE NOT EXISTS (SELECT 1 FROM paired p WHERE p.ctid = l.tid)
-UNION ALL SELECT 'not_in_ledger', stid, NULL, NULL, NULL, samt, sd FROM stm
+UNION ALL SELECT CASE WHEN stid IS NULL THEN 'UNCLASSIFIED' ELSE 'not_in_ledger' END,
+  stid, NULL, NULL, NULL, samt, sd FROM stm
 WHERE NOT EXISTS (SELECT 1 FROM led WHERE tid = stid)"""
 
 
@@ -512,7 +513,7 @@ def commission_reconcile(s: Source) -> DataFrame:
         {
             "ledger_count": count_of("led"),
             "ledger_credit_count": count_of("led", "comm IS NOT NULL AND comm <> 0"),
-            "statement_count": count_of("stm"),
+            "statement_count": count_of("stm", "stid IS NOT NULL"),
             "matched_trans_count": count_of("result", "CATEGORY = 'matching_trans'"),
             "amount_mismatch_shown_count": count_of(
                 "result", "CATEGORY = 'amount_mismatch'"
@@ -549,17 +550,35 @@ def parent_child_commission(s: Source) -> DataFrame:
 # ------------------------------------------------------------ daily totals
 
 BOOKING_VIEWS = ("booking_statement", "booking_ledger")
-BOOKING_SQL = """stm AS (SELECT *, CAST(try_strptime("Booked Date", '%d-%m-%Y %H:%M') AS DATE) AS day,
-  lower(trim(Status)) AS st, (CAST("Ticket Amount" AS DECIMAL(18,2)) + CAST("Service Tax" AS DECIMAL(18,2)))
-  - (CAST("Comm." AS DECIMAL(18,2)) - CAST("Comm TDS" AS DECIMAL(18,2))) AS final FROM booking_statement),
+
+
+def _exact(column: str) -> str:
+    return f'TRY_CAST(trim("{column}") AS DECIMAL(38,18))'
+
+
+def _bad(*columns: str) -> str:
+    """Whether one of the columns has a text that is no amount."""
+    return " OR ".join(
+        f"""(coalesce(trim("{c}"), '') <> '' AND {_exact(c)} IS NULL)""" for c in columns
+    )
+
+
+BOOKING_SQL = f"""stm AS (SELECT *, CAST(try_strptime("Booked Date", '%d-%m-%Y %H:%M') AS DATE) AS day,
+  lower(trim(Status)) AS st, ({_exact("Ticket Amount")} + {_exact("Service Tax")})
+  - ({_exact("Comm.")} - {_exact("Comm TDS")}) AS final,
+  {_bad("Ticket Amount", "Service Tax", "Comm.", "Comm TDS")} AS bad FROM booking_statement),
 net AS (SELECT day, coalesce(sum(CASE WHEN st = 'success' THEN final END), 0)
-    - coalesce(sum(CASE WHEN st = 'failed' THEN final END), 0) AS a
+    - coalesce(sum(CASE WHEN st = 'failed' THEN final END), 0) AS a,
+    bool_or(bad AND st IN ('success', 'failed')) AS bad_net
   FROM stm WHERE day IS NOT NULL AND st IS NOT NULL GROUP BY day),
-used AS (SELECT CAST(try_strptime("Balance Date", '%d-%m-%Y') AS DATE) AS day,
-  sum(CAST("Used Amount" AS DECIMAL(18,2))) AS b FROM booking_ledger GROUP BY 1),
+entries AS (SELECT *, CAST(try_strptime("Balance Date", '%d-%m-%Y') AS DATE) AS day,
+  {_exact("Used Amount")} AS amount, {_bad("Used Amount")} AS bad FROM booking_ledger),
+used AS (SELECT day, sum(amount) AS b, bool_or(bad) AS bad_used FROM entries
+  WHERE day IS NOT NULL GROUP BY day),
 days AS (SELECT coalesce(n.day, u.day) AS DAY, CAST(coalesce(a, 0) AS DOUBLE) AS AMOUNT_STATEMENT,
-  CAST(coalesce(b, 0) AS DOUBLE) AS AMOUNT_LEDGER FROM net n FULL JOIN used u ON n.day = u.day),
-verdicts AS (SELECT *, CASE WHEN abs(AMOUNT_STATEMENT - AMOUNT_LEDGER) <= 1e-5 + 1e-5 * abs(AMOUNT_LEDGER)
+  CAST(coalesce(b, 0) AS DOUBLE) AS AMOUNT_LEDGER, coalesce(bad_net, FALSE) OR coalesce(bad_used, FALSE)
+  AS open FROM net n FULL JOIN used u ON n.day = u.day),
+verdicts AS (SELECT * EXCLUDE (open), CASE WHEN open THEN 'UNCLASSIFIED' WHEN abs(AMOUNT_STATEMENT - AMOUNT_LEDGER) <= 1e-5 + 1e-5 * abs(AMOUNT_LEDGER)
   THEN 'MATCHED' ELSE 'MISMATCHED' END AS MAPPING_STATUS FROM days)"""
 
 
@@ -571,12 +590,12 @@ verdicts AS (SELECT *, CASE WHEN abs(AMOUNT_STATEMENT - AMOUNT_LEDGER) <= 1e-5 +
 )
 def daily_net_pivot(s: Source) -> DataFrame:
     _, stm = ledger_daily.prepare(s["booking_ledger"], s["booking_statement"])
-    return plain(ledger_daily.daily_net(stm))
+    return plain(ledger_daily.daily_net(stm).drop("NET_UNREADABLE"))
 
 
 @query("daily_compare", *BOOKING_VIEWS, sql=f"WITH {BOOKING_SQL} SELECT * FROM verdicts")
 def daily_compare(s: Source) -> DataFrame:
-    return ledger_daily.reconcile_daily(s["booking_ledger"], s["booking_statement"])[1]
+    return reconcile_ledger("ABHIBUS", s["booking_ledger"], s["booking_statement"]).days
 
 
 @query(
@@ -587,7 +606,9 @@ SELECT CASE MAPPING_STATUS WHEN 'MATCHED' THEN 'matching_trans' WHEN 'MISMATCHED
     ELSE 'UNCLASSIFIED' END AS CATEGORY, s."Tkt. Number" AS "TKT. NUMBER", AMOUNT_LEDGER, AMOUNT_STATEMENT,
   "Booked Date" AS "BOOKED DATE", "Ticket Amount" AS "TICKET AMOUNT", "Service Tax" AS "SERVICE TAX",
   "Comm." AS "COMM.", "Comm TDS" AS "COMM TDS", CAST(final AS DOUBLE) AS FINAL_AMOUNT, MAPPING_STATUS
-FROM stm s LEFT JOIN verdicts v ON v.DAY = s.day""",
+FROM stm s LEFT JOIN verdicts v ON v.DAY = s.day
+UNION ALL SELECT 'UNCLASSIFIED', NULL, amount, NULL, "Balance Date", NULL, NULL, NULL, NULL, NULL,
+  'UNCLASSIFIED' FROM entries WHERE day IS NULL OR bad""",
 )
 def daily_verdict_rows(s: Source) -> DataFrame:
     return plain(
@@ -605,7 +626,7 @@ def daily_verdict_rows(s: Source) -> DataFrame:
         {
             "ledger_count": count_of("booking_ledger"),
             "credit_count": count_of(
-                "booking_ledger", 'CAST("Used Amount" AS DECIMAL(18,2)) < 0'
+                "entries", "amount < 0"
             ),
             "statement_count": count_of("stm"),
             "matched_trans_count": count_of("result", "MAPPING_STATUS = 'MATCHED'"),

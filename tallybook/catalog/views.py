@@ -747,7 +747,8 @@ SELECT concat('TK', {_s("o_orderkey")}) AS {d.name("Tkt. Number")},
             ELSE {d.text("o_orderdate", "dd-MM-yyyy HH:mm")} END AS {d.name("Booked Date")},
        CASE CAST(o_orderkey % 5 AS INT) WHEN 0 THEN ' Failed' WHEN 1 THEN 'SUCCESS'
             WHEN 2 THEN 'pending' WHEN 3 THEN NULL ELSE 'success' END AS Status,
-       {_money("o_totalprice")} AS {d.name("Ticket Amount")},
+       CASE WHEN o_orderkey % 197 = 0 THEN 'abc' ELSE {_money("o_totalprice")} END
+           AS {d.name("Ticket Amount")},
        {_money("floor(o_totalprice / 20)")} AS {d.name("Service Tax")},
        CASE WHEN o_orderkey % 83 = 0 THEN NULL ELSE {_money("floor(o_totalprice / 50)")} END
            AS {d.name("Comm.")},
@@ -758,13 +759,14 @@ FROM {d.table("orders")}"""
 @view("booking_ledger", "orders", "lineitem")
 def _booking_ledger(d: Dialect) -> str:
     # On two days in three the used amounts add up to the statement's net; ship
-    # dates after the last order date give days that only the ledger has.
+    # dates after the last order date give days that only the ledger has. A few entries
+    # have a date or an amount that cannot be read.
     dec = "DECIMAL(18,2)"
     part = (
         f"(CAST(o_totalprice AS {dec}) + CAST(floor(o_totalprice / 20) AS {dec}))"
         f" - (CAST(floor(o_totalprice / 50) AS {dec}) - CAST(floor(o_totalprice / 500) AS {dec}))"
     )
-    signed = f"""CASE WHEN o_orderkey % 71 = 0 OR o_orderkey % 83 = 0 THEN 0
+    signed = f"""CASE WHEN o_orderkey % 71 = 0 OR o_orderkey % 83 = 0 OR o_orderkey % 197 = 0 THEN 0
             WHEN o_orderkey % 5 = 0 THEN -({part})
             WHEN o_orderkey % 5 = 1 OR o_orderkey % 5 = 4 THEN {part} ELSE 0 END"""
     day = d.text("o_orderdate", "dd-MM-yyyy")
@@ -774,6 +776,8 @@ SELECT {day} AS {d.name("Balance Date")},
             ELSE CAST(sum({signed}) AS STRING) END AS {d.name("Used Amount")}
 FROM {d.table("orders")} GROUP BY {day}
 UNION ALL
-SELECT {d.text("max(l_shipdate)", "dd-MM-yyyy")} AS {d.name("Balance Date")},
-       CAST(-CAST(count(*) AS DECIMAL(18,2)) AS STRING) AS {d.name("Used Amount")}
+SELECT CASE WHEN l_suppkey % 9 = 4 THEN 'no date'
+            ELSE {d.text("max(l_shipdate)", "dd-MM-yyyy")} END AS {d.name("Balance Date")},
+       CASE WHEN l_suppkey % 11 = 5 THEN 'n/a'
+            ELSE CAST(-CAST(count(*) AS DECIMAL(18,2)) AS STRING) END AS {d.name("Used Amount")}
 FROM {d.table("lineitem")} GROUP BY l_suppkey"""

@@ -21,11 +21,20 @@ def to_number(c: ColumnOrName) -> Column:
     return F.when(finite & plain, value)
 
 
-def to_decimal(c: ColumnOrName, precision: int = 18, scale: int = 2) -> Column:
-    """Exact amount for sums and equality; bad text is null."""
+def to_decimal(c: ColumnOrName, precision: int = 38, scale: int = 18) -> Column:
+    """Exact amount for sums and equality; bad text is null.
+
+    Nothing is rounded to cents: up to 20 digits before and 18 after the point are
+    kept. An amount that does not fit is null, see ``is_unreadable``.
+    """
     return strip(c).try_cast(f"decimal({precision},{scale})")
 
 
+def is_unreadable(c: ColumnOrName) -> Column:
+    """True for a value that is present but gives no exact amount; false for null and blank."""
+    return F.coalesce((strip(c) != "") & to_decimal(c).isNull(), F.lit(False))
+
+
 def is_bad_number(c: ColumnOrName) -> Column:
     """True for a value that is present but not numeric, for routing rows to a reject bucket."""
     return strip(c).isNotNull() & (strip(c) != "") & to_number(c).isNull()
@@ -35,14 +44,23 @@ def whole_number_text(c: ColumnOrName) -> Column:
     """Integer text of a numeric cell, truncated toward zero.
 
     ``12.0`` gives ``12``, ``10.75`` gives ``10``, null and ``nan`` give the
-    empty string. Other text, and numbers beyond 64 bits, are only stripped.
-    The way through decimals keeps every digit of long references.
+    empty string. Other text is only stripped. Plain numbers of any length are cut
+    as text, so that no digit is lost; only exponent forms are computed, up to 38 digits.
     """
     text = strip(c)
-    whole = text.try_cast("decimal(38,18)").try_cast("bigint").cast("string")
-    return F.when(
-        text.isNull() | (F.lower(text) == "nan"), F.lit("")
-    ).otherwise(F.coalesce(whole, text))
+    digits = F.regexp_extract(text, r"^[+-]?0*(\d*)", 1)
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    cut = F.when(digits == "", F.lit("0")).otherwise(F.concat(sign, digits))
+    value = text.try_cast("decimal(38,18)")
+    computed = F.coalesce(
+        F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)).cast("string"),
+        text.try_cast("decimal(38,0)").cast("string"),
+    )
+    return (
+        F.when(text.isNull() | (F.lower(text) == "nan"), F.lit(""))
+        .when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), cut)
+        .otherwise(F.coalesce(computed, text))
+    )
 
 
 def round_result(c: ColumnOrName, places: int = 3) -> Column:

@@ -16,6 +16,7 @@ from tallybook.operators.match import (
     missing_from,
     opaque,
 )
+from tallybook.operators.rules import UNCLASSIFIED
 from tallybook.plans.ledger_common import (
     AMOUNT_MISMATCH,
     MATCHED_NO_COMMISSION,
@@ -45,6 +46,7 @@ NO_ID = "NA"
 
 
 def prepare(ledger: DataFrame, statement: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with typed columns; a statement row without an id has a null ``STMT_TID``."""
     led, stm = upper_headers(as_text(ledger)), upper_headers(as_text(statement))
     require_columns(led, ("TID", "REFERENCE TID", "DR", "CR"), "ledger")
     require_columns(stm, ("IMWTID", "AMOUNT"), "statement")
@@ -55,8 +57,8 @@ def prepare(ledger: DataFrame, statement: DataFrame) -> tuple[DataFrame, DataFra
         to_decimal("CR").alias("COMM_AMT"),
         *([as_col("DATE").alias("LDG_DATE")] if "DATE" in led.columns else []),
     )
-    stm = stm.where(as_col("IMWTID").isNotNull() & (strip("IMWTID") != NO_ID)).select(
-        strip("IMWTID").alias("STMT_TID"),
+    stm = stm.select(
+        F.when(strip("IMWTID") != NO_ID, strip("IMWTID")).alias("STMT_TID"),
         to_decimal("AMOUNT").alias("STMT_AMOUNT"),
         *([as_col("DATE").alias("STMT_DATE")] if "DATE" in stm.columns else []),
     )
@@ -98,18 +100,22 @@ def reconcile_commission(ledger: DataFrame, statement: DataFrame) -> Result:
     def dated(df: DataFrame, column: str) -> DataFrame:
         return df.withColumnRenamed(column, "DATE")
 
+    # an unequal pair is a mismatch also without a commission row
+    unpaired = missing_from(both, parents, "LDG_TID", "PARENT_TID", exact).withColumn(
+        "CATEGORY", category(agree, MATCHED_NO_COMMISSION, AMOUNT_MISMATCH)
+    )
+    has_id = F.col("STMT_TID").isNotNull()
+    statement_only = missing_from(stm, led, "STMT_TID", "LDG_TID", exact).withColumn(
+        "CATEGORY", category(has_id, NOT_IN_LEDGER, UNCLASSIFIED)
+    )
     rows = stack(
-        {
-            MATCHED_NO_COMMISSION: dated(
-                missing_from(both, parents, "LDG_TID", "PARENT_TID", exact), "LDG_DATE"
-            ),
-            NOT_IN_STATEMENT: dated(unexplained, "LDG_DATE"),
-            NOT_IN_LEDGER: dated(
-                missing_from(stm, led, "STMT_TID", "LDG_TID", exact), "STMT_DATE"
-            ).withColumnRenamed("STMT_TID", "LDG_TID"),
-        },
+        {NOT_IN_STATEMENT: dated(unexplained, "LDG_DATE")},
         COLUMNS,
-        [dated(paired, "LDG_DATE")],
+        [
+            dated(paired, "LDG_DATE"),
+            dated(unpaired, "LDG_DATE"),
+            dated(statement_only, "STMT_DATE").withColumnRenamed("STMT_TID", "LDG_TID"),
+        ],
     )
     has_commission = F.col("COMM_AMT").isNotNull() & (F.col("COMM_AMT") != 0)
     missing = count_buckets(
@@ -122,7 +128,7 @@ def reconcile_commission(ledger: DataFrame, statement: DataFrame) -> Result:
     )
     parts = counts(
         (led, {**row_count("ledger_count"), "ledger_credit_count": has_commission}),
-        (stm, row_count("statement_count")),
+        (stm, {"statement_count": has_id}),
         # every unequal pair is a failure, also one without a commission row to show
         (both, {"failed_trans_count": ~agree}),
         total=missing,

@@ -11,7 +11,7 @@ from tallybook.functions.status import FAILED, lower_status
 from tallybook.functions.text import drop_point_zero, strip
 from tallybook.operators.columns import upper_headers, with_prefix
 from tallybook.operators.filters import NON_TRANSACTION, exclude_matching
-from tallybook.operators.match import own_shuffle
+from tallybook.operators.match import opaque, own_shuffle
 from tallybook.plans.ledger_common import (
     AMOUNT_MISMATCH,
     MATCHED_NO_COMMISSION,
@@ -78,7 +78,7 @@ def settlement_totals(statement: DataFrame) -> DataFrame:
         .groupBy("SETTLED_ID")
         .agg(
             F.coalesce(
-                F.sum("AMOUNT_STATEMENT"), F.lit(0).cast("decimal(28,2)")
+                F.sum("AMOUNT_STATEMENT"), F.lit(0).cast("decimal(1,0)")
             ).alias("SUM_AMOUNT")
         )
     )
@@ -100,14 +100,19 @@ def is_idle() -> Column:
 
 
 def mark_commission(compared: DataFrame) -> DataFrame:
-    """``IS_COMMISSION`` for ledger rows that settle nothing and directly follow an agreeing one."""
-    bases = (
+    """``IS_COMMISSION`` for ledger rows that settle nothing and directly follow an agreeing one.
+
+    Both sides get a shuffle of their own, so that rows without a readable serial
+    number, which all lie in one partition, can be split.
+    """
+    bases = own_shuffle(
         compared.where("AGREES")
         .select((F.col("SNO") + 1).alias("NEXT_SNO"))
-        .distinct()
+        .distinct(),
+        "NEXT_SNO",
     )
     follows = is_idle() & F.col("NEXT_SNO").isNotNull()
-    return compared.join(bases, F.col("SNO") == F.col("NEXT_SNO"), "left").select(
+    return compared.join(bases, opaque("SNO") == F.col("NEXT_SNO"), "left").select(
         *compared.columns, follows.alias("IS_COMMISSION")
     )
 

@@ -19,7 +19,7 @@ from tallybook.functions.text import like_text, null_words_to_null
 from tallybook.operators.columns import select_existing, tagged, union_aligned
 from tallybook.operators.filters import reference_not_updated
 from tallybook.operators.latest import keep_first
-from tallybook.operators.match import exact, inner_match, missing_from
+from tallybook.operators.match import exact, inner_match, missing_from, own_shuffle
 from tallybook.operators.rules import (
     NOT_IN_PORTAL,
     NOT_IN_VENDOR,
@@ -157,7 +157,10 @@ def bank_ref_missing(hub: DataFrame, vendor: DataFrame) -> DataFrame:
 
 
 def qr_buckets(enriched: DataFrame, hub: DataFrame, vendor: DataFrame) -> DataFrame:
-    matched = inner_match(enriched, vendor, "VENDOR_REFERENCE", "REFID", exact)
+    # grouped by the same reference: without a shuffle of its own a hot REFID could not be split
+    matched = inner_match(
+        own_shuffle(enriched, "VENDOR_REFERENCE"), vendor, "VENDOR_REFERENCE", "REFID", exact
+    )
     matched = matched.withColumn(
         "CATEGORY", classify(QR_RULES, "VENDOR_STATUS", "IHUB_MASTER_STATUS")
     )

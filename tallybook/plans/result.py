@@ -14,11 +14,15 @@ from tallybook.operators.summary import bucket_sizes
 
 @dataclass(frozen=True)
 class Result:
-    """Rows in one frame, told apart by ``CATEGORY``, and ``(metric, value)`` counts. Both lazy."""
+    """Rows in one frame, told apart by ``CATEGORY``, and ``(metric, value)`` counts. Both lazy.
+
+    ``days``: the comparison of daily totals, of plans that make one.
+    """
 
     buckets: DataFrame
     counts: DataFrame
     settled: Sequence[str] = ()
+    days: DataFrame | None = None
 
     def bucket(self, category: str) -> DataFrame:
         return self.buckets.where(F.col("CATEGORY") == category)

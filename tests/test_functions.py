@@ -30,6 +30,12 @@ def values(df, column):
         ("inf", "inf"),
         ("9007199254740993", "9007199254740993"),
         ("123456789012345678901234", "123456789012345678901234"),
+        ("9223372036854775808.0", "9223372036854775808"),
+        ("-00012345678901234567890.75", "-12345678901234567890"),
+        (".5", "0"),
+        ("-1.5e1", "-15"),
+        ("1.2e19", "12000000000000000000"),
+        ("+7.", "7"),
     ],
 )
 def test_whole_number_text(frame, raw, expected):
@@ -37,6 +43,30 @@ def test_whole_number_text(frame, raw, expected):
     assert values(df, numbers.whole_number_text("v")) == [expected]
 
 
+@pytest.mark.parametrize(
+    "left, right, equal",
+    [
+        ("10.004", "10.00", False),
+        ("10.0", " 10.000 ", True),
+        ("99999999999999999.99", "99999999999999999.990", True),
+        ("99999999999999999.99", "99999999999999999.98", False),
+        ("abc", "abc", False),
+    ],
+)
+def test_exact_amounts(frame, left, right, equal):
+    df = frame("v string, w string", (left, right))
+    same = numbers.amounts_equal(numbers.to_decimal("v"), numbers.to_decimal("w"))
+    assert values(df, same) == [equal]
+
+
+@pytest.mark.parametrize(
+    "raw, expected",
+    [("1.5", False), ("abc", True), ("", False), (" ", False), (None, False), ("1e30", True)],
+)
+def test_is_unreadable(frame, raw, expected):
+    assert values(frame("v string", (raw,)), numbers.is_unreadable("v")) == [expected]
+
+
 @pytest.mark.parametrize(
     "raw, expected",
     [("1.5", 1.5), (" 2 ", 2.0), ("1f", None), ("nan", None), ("inf", None), ("x", None), (None, None)],

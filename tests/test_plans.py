@@ -252,3 +252,57 @@ def test_staged_sides_give_the_same_result(source):
     want = rows_of(reconcile("RECHARGE", file, tables, START, END).sizes())
     result = reconcile("RECHARGE", file, tables, START, END, stage=True)
     assert rows_of(result.sizes()) == want
+
+
+def test_unreadable_input_gives_no_day_a_verdict(frame):
+    ledger = frame(
+        "`Balance Date` string, `Used Amount` string",
+        ("01-01-2024", "100"),
+        ("02-01-2024", "100"),
+        ("someday", "500"),
+        ("03-01-2024", "x"),
+        ("04-01-2024", "7"),
+    )
+    booking = "`Tkt. Number` string, `Booked Date` string, Status string, `Ticket Amount` string"
+    statement = frame(
+        booking + ", `Service Tax` string, `Comm.` string, `Comm TDS` string",
+        ("a", "01-01-2024 10:00", "success", "100", "0", "0", "0"),
+        ("b", "02-01-2024 10:00", "success", "100", "0", "0", "0"),
+        ("c", "02-01-2024 10:00", "success", "abc", "0", "0", "0"),
+        ("d", "03-01-2024 10:00", "failed", "0", "0", "0", "0"),
+    )
+    result = reconcile_ledger("ABHIBUS", ledger, statement)
+    rows = result.buckets.select("CATEGORY", "`TKT. NUMBER`", "`BOOKED DATE`").collect()
+    assert sorted((r[0], r[1] or r[2]) for r in rows) == [
+        ("UNCLASSIFIED", "03-01-2024"),
+        ("UNCLASSIFIED", "b"),
+        ("UNCLASSIFIED", "c"),
+        ("UNCLASSIFIED", "d"),
+        ("UNCLASSIFIED", "someday"),
+        ("matching_trans", "a"),
+    ]
+    assert result.has_exceptions()
+    # a day that only the ledger has
+    assert [r.AMOUNT_LEDGER for r in result.days.collect() if r.DAY.day == 4] == [7.0]
+
+
+def test_unequal_pair_without_commission_is_a_mismatch(frame):
+    ledger = frame(
+        "TID string, `Reference TID` string, DR string, CR string, Date string",
+        ("p", None, "10.00", None, "d"),
+        ("q", None, "10.00", None, "d"),
+    )
+    statement = frame(
+        "IMWTID string, Amount string, Date string",
+        ("p", "99.00", "d"),
+        ("q", "10", "d"),
+        ("NA", "1", "d"),
+        (None, "2", "d"),
+    )
+    rows = reconcile_ledger("LIC", ledger, statement).buckets.collect()
+    assert sorted((r.CATEGORY, r.LDG_TID or "") for r in rows) == [
+        ("MATCHED_NO_COMMISSION", "q"),
+        ("UNCLASSIFIED", ""),
+        ("UNCLASSIFIED", ""),
+        ("amount_mismatch", "p"),
+    ]

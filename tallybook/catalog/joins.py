@@ -427,7 +427,8 @@ def dedup_first(s: Source) -> DataFrame:
     "dedup_best",
     "wallet",
     sql="""SELECT VENDOR_REFERENCE, EBO_WALLET_CREDIT, TRANSACTION_TYPE, MERGE_TYPE, REFERENCE_NO FROM (
-SELECT *, row_number() OVER (PARTITION BY VENDOR_REFERENCE ORDER BY
+SELECT *, row_number() OVER (PARTITION BY VENDOR_REFERENCE,
+  CASE WHEN VENDOR_REFERENCE IS NULL THEN REFERENCE_NO END ORDER BY
   CASE WHEN TRANSACTION_TYPE IS NULL AND EBO_WALLET_CREDIT IS NULL THEN 1 ELSE 0 END,
   MERGE_TYPE, REFERENCE_NO NULLS FIRST) AS rn
 FROM (SELECT DISTINCT trim(VendorReferenceId) AS VENDOR_REFERENCE,

@@ -37,6 +37,8 @@ QR_HUB = f"""qr_hub AS (SELECT {_clean("p.ReferenceNo")} AS REFERENCE_NO,
   FROM qr_payments p JOIN qr_sessions w ON w.Id = p.WhiteLabelSessionId
   WHERE CAST(p.CreationTs AS DATE) {WITHIN} AND CAST(w.CreationTs AS DATE) {WITHIN})"""
 
+# What tells payments without a bank reference apart.
+OWN_REFERENCE = "CASE WHEN VENDOR_REFERENCE IS NULL THEN REFERENCE_NO END"
 _FIRST_HUB = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY
   REFERENCE_NO NULLS FIRST, VENDOR_REFERENCE NULLS FIRST, IHUB_MASTER_STATUS, UPIQR_STATUS NULLS FIRST,
   SERVICE_DATE, TENANT_ID, IHUB_USERNAME, HUB_AMOUNT, TRANS_MODE) AS rn FROM qr_hub) WHERE rn = 1"""
@@ -49,13 +51,13 @@ def _branch(key: str, origin: str) -> str:
     return f"""SELECT h.REFERENCE_NO, h.VENDOR_REFERENCE, h.IHUB_MASTER_STATUS, h.UPIQR_STATUS,
   h.SERVICE_DATE, h.TENANT_ID, h.IHUB_USERNAME, h.HUB_AMOUNT, h.TRANS_MODE, c.EBO_WALLET_CREDIT,
   c.TRANSACTION_TYPE, coalesce(c.ServiceName, 'UPIQR') AS SERVICE_NAME, '{origin}' AS MERGE_TYPE
-  FROM ({_FIRST_HUB.format(key=key)}) h
+  FROM ({_FIRST_HUB.format(key=f"{key}, {OWN_REFERENCE}")}) h
   LEFT JOIN ({_FIRST_CREDIT.format(origin=origin)}) c ON c.UNIQUE_REFERENCE = h.{key}"""
 
 
 QR_SQL = f"""{QR_HUB},
 {CREDITS_SQL},
-enriched AS (SELECT * EXCLUDE (rb) FROM (SELECT *, row_number() OVER (PARTITION BY VENDOR_REFERENCE
+enriched AS (SELECT * EXCLUDE (rb) FROM (SELECT *, row_number() OVER (PARTITION BY VENDOR_REFERENCE, {OWN_REFERENCE}
   ORDER BY CASE WHEN TRANSACTION_TYPE IS NULL AND EBO_WALLET_CREDIT IS NULL THEN 1 ELSE 0 END,
     MERGE_TYPE, REFERENCE_NO NULLS FIRST) AS rb
   FROM ({_branch("VENDOR_REFERENCE", "AUTO_CREDIT")}
@@ -83,7 +85,11 @@ UNION ALL SELECT 'NOT_IN_PORTAL', VENDOR_DATE, NULL, NULL, REFID, Unique_ID, NUL
 WHERE NOT EXISTS (SELECT 1 FROM qr_hub h WHERE v.Unique_ID = h.REFERENCE_NO)
 UNION ALL SELECT 'BANK_REF_NOT_UPDATED', VENDOR_DATE, TENANT_ID, VENDOR_REFERENCE, REFID, REFERENCE_NO,
   IHUB_USERNAME, TRANS_MODE, HUB_AMOUNT, VENDOR_AMOUNT, SERVICE_DATE, VENDOR_STATUS, IHUB_MASTER_STATUS,
-  UPIQR_STATUS, NULL, NULL FROM waiting JOIN qr_vendor v ON v.Unique_ID = REFERENCE_NO"""
+  UPIQR_STATUS, NULL, NULL FROM waiting JOIN qr_vendor v ON v.Unique_ID = REFERENCE_NO
+UNION ALL SELECT 'SHARED_BANK_REF', NULL, TENANT_ID, VENDOR_REFERENCE, NULL, REFERENCE_NO, IHUB_USERNAME,
+  TRANS_MODE, HUB_AMOUNT, NULL, SERVICE_DATE, NULL, IHUB_MASTER_STATUS, UPIQR_STATUS, NULL, NULL FROM qr_hub h
+WHERE VENDOR_REFERENCE IS NOT NULL AND REFERENCE_NO IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM enriched e WHERE e.REFERENCE_NO = h.REFERENCE_NO)"""
 
 
 def qr_tables(s: Source) -> Tables:

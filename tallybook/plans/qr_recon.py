@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.config.hub_services import QR_WALLET_PATTERN
@@ -36,6 +36,9 @@ from tallybook.sources.tables import Tables
 
 SERVICE = "UPIQR"
 BANK_REF_NOT_UPDATED = "BANK_REF_NOT_UPDATED"
+# Not part of the fixed values: payments that give way to another one of the same bank reference.
+SHARED_BANK_REF = "SHARED_BANK_REF"
+_OWN = "__own"
 
 # Result columns, in order.
 RESULT_COLUMNS = (
@@ -110,10 +113,21 @@ def wallet_credits(tables: Tables, start: Day, end: Day) -> DataFrame:
     )
 
 
-def _credit_branch(hub: DataFrame, credits: DataFrame, key: str, origin: str) -> DataFrame:
+def _keep_per_reference(rows: DataFrame, parity: bool, *order: Column | str) -> DataFrame:
+    """The first row of each bank reference; rows without one are told apart by our own.
+
+    ``parity`` treats all rows without a bank reference as one, which loses all but
+    one of them, for comparison with tools that do so.
+    """
+    own = F.when(F.col("VENDOR_REFERENCE").isNull() & F.lit(not parity), F.col("REFERENCE_NO"))
+    return keep_first(rows.withColumn(_OWN, own), ["VENDOR_REFERENCE", _OWN], *order).drop(_OWN)
+
+
+def _credit_branch(
+    payments: DataFrame, credits: DataFrame, key: str, origin: str
+) -> DataFrame:
     # Both sides are cut to one row per key before the join; doing so after it
     # would give the same rows but could first multiply a hot key.
-    payments = keep_first(hub, key, "REFERENCE_NO", "VENDOR_REFERENCE")
     one_credit = keep_first(
         credits.where(
             (F.col("TRANSACTION_TYPE") == origin) & F.col("UNIQUE_REFERENCE").isNotNull()
@@ -125,7 +139,7 @@ def _credit_branch(hub: DataFrame, credits: DataFrame, key: str, origin: str) ->
     )
     joined = payments.join(one_credit, F.col(key) == F.col("UNIQUE_REFERENCE"), "left")
     return joined.select(
-        *[F.col(c) for c in hub.columns],
+        *[F.col(c) for c in payments.columns],
         "EBO_WALLET_CREDIT",
         "TRANSACTION_TYPE",
         F.coalesce("ServiceName", F.lit(SERVICE)).alias("SERVICE_NAME"),
@@ -133,21 +147,36 @@ def _credit_branch(hub: DataFrame, credits: DataFrame, key: str, origin: str) ->
     )
 
 
-def with_wallet_credit(hub: DataFrame, credits: DataFrame) -> DataFrame:
+def with_wallet_credit(
+    hub: DataFrame, credits: DataFrame, parity: bool = False
+) -> DataFrame:
     """One row per bank reference, with its wallet credit by whichever link finds one.
 
+    Payments without a bank reference have one row each, see ``_keep_per_reference``.
+
     A row with wallet data wins over one without; then the automatic link over
     the manual one; then the smaller own reference.
     """
-    both = _credit_branch(hub, credits, "VENDOR_REFERENCE", "AUTO_CREDIT").unionByName(
-        _credit_branch(hub, credits, "REFERENCE_NO", "MANUAL_REFUND")
+    order = ("REFERENCE_NO", "VENDOR_REFERENCE")
+    by_bank = _keep_per_reference(hub, parity, *order)
+    by_own = keep_first(hub, "REFERENCE_NO", *order)
+    both = _credit_branch(by_bank, credits, "VENDOR_REFERENCE", "AUTO_CREDIT").unionByName(
+        _credit_branch(by_own, credits, "REFERENCE_NO", "MANUAL_REFUND")
     )
-    return keep_best_credit(both)
+    return keep_best_credit(both, parity)
 
 
-def keep_best_credit(rows: DataFrame) -> DataFrame:
+def keep_best_credit(rows: DataFrame, parity: bool = False) -> DataFrame:
     nothing = F.col("TRANSACTION_TYPE").isNull() & F.col("EBO_WALLET_CREDIT").isNull()
-    return keep_first(rows, "VENDOR_REFERENCE", nothing, "MERGE_TYPE", "REFERENCE_NO")
+    return _keep_per_reference(rows, parity, nothing, "MERGE_TYPE", "REFERENCE_NO")
+
+
+def shared_bank_ref(hub: DataFrame, enriched: DataFrame) -> DataFrame:
+    """Payments that another payment of the same bank reference stands for in ``enriched``."""
+    known = hub.where(
+        F.col("VENDOR_REFERENCE").isNotNull() & F.col("REFERENCE_NO").isNotNull()
+    )
+    return missing_from(known, enriched, "REFERENCE_NO", "REFERENCE_NO", exact)
 
 
 def bank_ref_missing(hub: DataFrame, vendor: DataFrame) -> DataFrame:
@@ -171,6 +200,7 @@ def qr_buckets(enriched: DataFrame, hub: DataFrame, vendor: DataFrame) -> DataFr
         tagged(hub_only, NOT_IN_VENDOR),
         tagged(vendor_only.withColumnRenamed("Unique_ID", "REFERENCE_NO"), NOT_IN_PORTAL),
         tagged(bank_ref_missing(hub, vendor), BANK_REF_NOT_UPDATED),
+        tagged(shared_bank_ref(hub, enriched), SHARED_BANK_REF),
     )
     return select_existing(
         union_aligned(*[select_existing(p, RESULT_COLUMNS) for p in parts]),

@@ -306,3 +306,26 @@ def test_unequal_pair_without_commission_is_a_mismatch(frame):
         ("UNCLASSIFIED", ""),
         ("amount_mismatch", "p"),
     ]
+
+
+def test_payments_without_bank_reference_stay_apart(frame):
+    from tallybook.plans import qr_recon
+
+    hub = frame(
+        "REFERENCE_NO string, VENDOR_REFERENCE string, HUB_AMOUNT double",
+        *((f"r{i}", None, 1.0) for i in range(5)),
+        ("s1", "bank", 1.0),
+        ("s2", "bank", 1.0),
+    )
+    credits = frame(
+        "VendorReferenceId string, IHubReferenceId string, ServiceName string, "
+        "EBO_WALLET_CREDIT string, UNIQUE_REFERENCE string, TRANSACTION_TYPE string",
+        (None, "r3", "UPI", "Yes", "r3", "MANUAL_REFUND"),
+    )
+    rows = qr_recon.with_wallet_credit(hub, credits)
+    found = sorted((r.REFERENCE_NO, r.EBO_WALLET_CREDIT) for r in rows.collect())
+    assert found == [(f"r{i}", "Yes" if i == 3 else None) for i in range(5)] + [("s1", None)]
+    shared = qr_recon.shared_bank_ref(hub, rows).collect()
+    assert [r.REFERENCE_NO for r in shared] == ["s2"]
+    folded = qr_recon.with_wallet_credit(hub, credits, parity=True)
+    assert folded.count() == 2

@@ -139,6 +139,7 @@ LEFT JOIN wallet_flags f ON f.ref = m.TransactionRefNum {undated_join}
 WHERE {_DAY.format(window)} {within} {where})"""
 
 
+# Codes, labels and column names of each service, as the checking SQL needs them.
 EXTRACTS = {
     "RECHARGE": dict(
         pattern="%All - Recharge%",

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions._cols import as_col
-from tallybook.functions.labels import yes_no
+from tallybook.functions.labels import YES, yes_no
 from tallybook.operators.match import exact, join_keys, key_set, own_shuffle
 
 # Wallet entry descriptions behind each flag.
@@ -57,16 +57,20 @@ Flags = Mapping[str, Sequence[str]]
 
 
 def flag_aggregates(flags: Flags, description: str = "Description") -> list[Column]:
-    """``Yes`` if any entry of the group has one of the descriptions."""
+    """``Yes`` if any entry of the group has one of the descriptions.
+
+    Folded as booleans, which a hash aggregation can hold; text would need a sort.
+    """
     return [
-        F.max(yes_no(as_col(description).isin(*words))).alias(name)
+        yes_no(F.bool_or(as_col(description).isin(*words))).alias(name)
         for name, words in flags.items()
     ]
 
 
 def merge_flags(flags: Flags) -> list[Column]:
-    """Flags already computed, OR-ed over a group."""
-    return [F.max(as_col(name)).alias(name) for name in flags]
+    """Flags already computed, OR-ed over a group; null if all are null."""
+    found = {name: F.bool_or(as_col(name) == YES) for name in flags}
+    return [F.when(c.isNotNull(), yes_no(c)).alias(name) for name, c in found.items()]
 
 
 def max_amount(

@@ -99,7 +99,7 @@ def wallet_credits(tables: Tables, start: Day, end: Day) -> DataFrame:
     return (
         entries.groupBy("VendorReferenceId", "IHubReferenceId", "ServiceName")
         .agg(
-            F.max(yes_no(F.col("Description").isin(*TOPUP_CREDIT))).alias(
+            yes_no(F.bool_or(F.col("Description").isin(*TOPUP_CREDIT))).alias(
                 "EBO_WALLET_CREDIT"
             )
         )

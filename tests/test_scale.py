@@ -171,3 +171,11 @@ def test_results_do_not_depend_on_partitions(spark, sf_dir, conf):
     want = rows_of(queries()["recon_buckets"](spark, sf_dir))
     conf(**NO_BROADCAST, **{"spark.sql.shuffle.partitions": "37", "spark.sql.adaptive.enabled": "false"})
     assert rows_of(queries()["recon_buckets"](spark, sf_dir)) == want
+
+
+def test_wallet_flags_are_hashed(spark, sf_dir):
+    """Flags are folded as booleans; only the largest text reference still sorts (two steps)."""
+    for name, sorts in (("wallet_group_three_keys", 0), ("wallet_flags_two_link", 2)):
+        text = queries()[name](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+        assert text.count("SortAggregate") == sorts
+        assert "HashAggregate" in text

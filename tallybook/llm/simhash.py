@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.components import components
+from tallybook.llm.near_copies import near_copies
 from tallybook.llm.shared import fresh, saved
 
 RADIUS = 3
@@ -255,23 +256,23 @@ def components_of(rows: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def drop_near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``df`` with one row of each component: that with the least key.
+    """``df`` with one row of each component of ``near_copies``: that with the least key.
 
     Rows without a key stay only if their whole component has none. Of several rows
     with the least key, one stays.
     """
-    order, fp = fresh(df.columns, "order"), fresh([*df.columns, "order"], "fp")
+    order = fresh(df.columns, "order")
     # numbered once and written, so that a number always means the same row
-    kept = saved(
-        fingerprints(df.withColumn(order, F.monotonically_increasing_id()), text, fp), "numbered"
-    )
+    kept = saved(df.withColumn(order, F.monotonically_increasing_id()), "numbered")
+    found = near_copies(kept.select(F.col(order).alias("node"), F.col(f"`{text}`").alias("text")))
     ids = kept.select(
+        F.col(order).alias("node"),
         F.struct(
             F.col(f"`{key}`").isNull().alias("none"),
             F.col(f"`{key}`").alias("key"),
             F.col(order).alias("order"),
         ).alias("id"),
-        F.col(fp).alias("fp"),
     )
-    first = components_of(ids).select(F.col("component.order").alias(order)).distinct()
+    first = ids.join(found, "node").groupBy("root").agg(F.min("id").alias("id"))
+    first = first.select(F.col("id.order").alias(order))
     return kept.join(first, order, "left_semi").select(*(f"`{c}`" for c in df.columns))

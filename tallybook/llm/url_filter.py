@@ -5,19 +5,22 @@ predicts a character from contexts of up to five characters and falls back on sh
 ones as far as a context is new (Witten-Bell smoothing), so its order varies from
 character to character. A URL is blocked if the difference of its log-likelihoods, by
 its length, lies on the far side of a threshold calibrated on URLs that the models have
-not seen.
+not seen. The models are a table with a row for each context, which grows with the URLs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybook.llm.shared import fresh, saved
+from tallybook.operators.match import own_shuffle
+
 ALLOW, BLOCK = "allow", "block"
 # Rules (host and path, verdict).
 RULES = (
@@ -29,9 +32,8 @@ RULES = (
 )
 ORDER = 5
 SYMBOLS = 64
-#: Contexts of each length share this many slots: the models' size is bounded, 21 MB
-#: for both, however many URLs there are. Contexts of one slot share their counts.
-SLOTS = 1 << 13
+#: Bits of a symbol: a character and the five before it are one number.
+_BITS = 6
 #: Every fifth URL by its hash calibrates, the others train.
 FOLDS = 5
 _STEPS = 400
@@ -76,61 +78,113 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def contexts(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, slots, owner) of all characters of ``urls``.
+def grams(urls: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(grams, owner) of all characters of ``urls``.
 
-    ``slots[k]`` is the slot of the context of k characters; a context does not reach
-    beyond the beginning of its URL.
+    A gram is the symbol and, in higher bits, the five before it, the last one lowest; zeros
+    stand before the beginning of the URL.
     """
     data = [u.encode("utf-8", "surrogatepass") for u in urls]
     sizes = np.array([len(d) for d in data], np.int64)
     symbols = _SYMBOL[np.frombuffer(b"".join(data), np.uint8)]
     owner = np.repeat(np.arange(len(data)), sizes)
     place = np.arange(len(symbols)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    slots = np.zeros((ORDER + 1, len(symbols)), np.int64)
-    key = np.zeros(len(symbols), np.uint64)
+    found = symbols.copy()
     for k in range(1, ORDER + 1):
         before = np.full(len(symbols), _BEGIN, np.int64)
         before[k:] = symbols[:-k]
         before[place < k] = _BEGIN
-        key = key * np.uint64(0x9E3779B97F4A7C15) + (before + 1).astype(np.uint64)
-        mixed = (key ^ (key >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        slots[k] = (mixed >> np.uint64(64 - 13)).astype(np.int64)
-    return symbols, slots, owner
+        found |= before << _BITS * k
+    return found, owner
+
 
+def gram_table(rows: DataFrame) -> DataFrame:
+    """(row, side, gram, n) of rows (row, side, url): how often each URL has each gram."""
 
-class Markov:
-    """Counts of one class of URLs, by order, slot of the context and symbol."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found, owner = grams([u or "" for u in b["url"]])
+            own = pd.DataFrame({"at": owner, "gram": found}).value_counts(sort=False).reset_index(name="n")
+            at = own.pop("at").to_numpy()
+            own.insert(0, "side", b["side"].astype("Int32").array[at])
+            own.insert(0, "row", b["row"].to_numpy()[at])
+            yield own
+
+    return rows.select("row", "side", "url").mapInPandas(count, "row long, side int, gram long, n long")
+
+
+def _by_order(rows: DataFrame) -> DataFrame:
+    """``rows`` (gram, ..) once for each order k, with the context's key and the symbol."""
+    gram = F.col("gram")
+    keys = [
+        F.struct(
+            F.lit(k).alias("k"),
+            F.shiftright(gram, _BITS)
+            .bitwiseAND(F.lit((1 << _BITS * k) - 1).cast("long"))
+            .bitwiseOR(F.lit(k << _BITS * ORDER).cast("long"))
+            .alias("key"),
+        )
+        for k in range(ORDER + 1)
+    ]
+    return rows.withColumn("x", F.explode(F.array(*keys))).select(
+        *rows.columns, "x.k", "x.key", gram.bitwiseAND((1 << _BITS) - 1).cast("int").alias("symbol")
+    )
 
-    def __init__(self, counts: np.ndarray) -> None:
-        self._counts = counts
-        self._total = counts.sum(2)
-        self._kinds = (counts > 0).sum(2)
 
-    def log_likelihood(self, symbols: np.ndarray, slots: np.ndarray) -> np.ndarray:
-        """Of each character, given those before it."""
-        p = np.full(len(symbols), 1 / SYMBOLS)
-        for k in range(ORDER + 1):
-            n = self._counts[k, slots[k], symbols]
-            total, kinds = self._total[k, slots[k]], self._kinds[k, slots[k]]
-            p = np.where(total > 0, (n + kinds * p) / np.maximum(total + kinds, 1), p)
-        return np.log(p)
+def context_table(table: DataFrame) -> DataFrame:
+    """A row for each context of ``table`` (side, gram, n): what follows it, by side.
+
+    (key, total, kinds, counts): arrays of the two sides, and their counts by symbol.
+    """
+    whole = table.groupBy("gram").agg(
+        *(F.sum(F.when(F.col("side") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in (0, 1))
+    )
+    cells = _by_order(whole).groupBy("key", "symbol").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    sides = ("n0", "n1")
+    # at most one entry for each symbol
+    return cells.groupBy("key").agg(
+        F.array(*(F.sum(n) for n in sides)).alias("total"),
+        F.array(*(F.count_if(F.col(n) > 0) for n in sides)).alias("kinds"),
+        F.map_from_entries(F.collect_list(F.struct("symbol", F.array(*sides)))).alias("counts"),
+    )
 
 
 @dataclass(frozen=True)
 class Model:
-    accepted: Markov
-    rejected: Markov
+    """``contexts``: a table that all tasks reach; None if there is nothing to compare."""
+
+    contexts: DataFrame | None
+    spark: SparkSession
     threshold: float = 0.0
 
+    def values(self, found: DataFrame) -> DataFrame:
+        """(gram, value) of different grams: log-likelihood of acceptance against rejection."""
+        if self.contexts is None:
+            return found.select("gram", F.lit(0).cast("decimal(20,12)").alias("value"))
+        # short contexts are hot, and split by a shuffle of their own
+        known = own_shuffle(self.contexts, "key")
+        met = _by_order(found).join(known, "key").select(
+            "gram",
+            F.struct(
+                "k", "total", "kinds", F.coalesce(F.col("counts")[F.col("symbol")], F.expr("array(0L, 0L)")).alias("n")
+            ).alias("x"),
+        )
+
+        def likelihood(side: int) -> Column:
+            def longer(p: Column, x: Column) -> Column:
+                total, kinds = x["total"][side], x["kinds"][side]
+                return F.when(total > 0, (x["n"][side] + kinds * p) / (total + kinds)).otherwise(p)
+
+            return F.log(F.aggregate("met", F.lit(1 / SYMBOLS), longer))
+
+        met = met.groupBy("gram").agg(F.sort_array(F.collect_list("x")).alias("met"))
+        # decimals add up to the same sum in any order
+        return met.select("gram", (likelihood(0) - likelihood(1)).cast("decimal(20,12)").alias("value"))
+
     def score(self, urls: pd.Series) -> np.ndarray:
-        """Log-likelihood of acceptance against rejection for each character on average."""
-        texts = [u or "" for u in urls]
-        symbols, slots, owner = contexts(texts)
-        difference = self.accepted.log_likelihood(symbols, slots)
-        difference = difference - self.rejected.log_likelihood(symbols, slots)
-        sums = np.bincount(owner, difference, len(texts))
-        return sums / np.maximum(np.bincount(owner, minlength=len(texts)), 1)
+        """Scores of a few URLs, for use on the driver."""
+        rows = self.spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i long, url string")
+        return add_score(rows, self, "score").orderBy("i").toPandas()["score"].to_numpy()
 
 
 def bare(url: Column) -> Column:
@@ -141,41 +195,21 @@ def bare(url: Column) -> Column:
 def fit(labelled: DataFrame) -> Model:
     """Models and threshold from rows (url, verdict); all rows count, none is sampled.
 
-    Tasks count characters in their contexts, Spark adds the counts up, and what reaches
-    the driver is at most one number for each slot and symbol. Without a URL of
+    Contexts and counts are exact and stay in tables. Without a URL of
     either class both models say the same and nothing is blocked.
     """
     rows = labelled.select(
         "url", (F.col("verdict") == BLOCK).cast("int").alias("side")
     ).withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(FOLDS)))
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = np.zeros((2, ORDER + 1, SLOTS, SYMBOLS), np.int64)
-        for b in batches:
-            for side in (0, 1):
-                symbols, slots, _ = contexts(b["url"][b["side"] == side].tolist())
-                for k in range(ORDER + 1):
-                    flat = held[side, k].reshape(-1)
-                    flat += np.bincount(slots[k] * SYMBOLS + symbols, minlength=flat.size)
-        at = np.flatnonzero(held)
-        yield pd.DataFrame({"cell": at, "n": held.reshape(-1)[at]})
-
-    train = rows.where("fold <> 0").select("url", "side")
-    cells = (
-        train.mapInPandas(count, "cell long, n long")
-        .groupBy("cell")
-        .agg(F.sum("n").alias("n"))
-        .toPandas()
-    )
-    counts = np.zeros((2, ORDER + 1, SLOTS, SYMBOLS), np.int32)
-    counts.reshape(-1)[cells["cell"].to_numpy(np.int64)] = np.minimum(cells["n"], 2**31 - 1)
-    if not counts[0].any() or not counts[1].any():
-        counts[:] = 0
-    model = Model(Markov(counts[0]), Markov(counts[1]))
+    train = rows.where("fold <> 0").withColumn("row", F.lit(0).cast("long"))
+    contexts = saved(context_table(gram_table(train)), "contexts")
+    # the context of no characters has the totals
+    whole = contexts.where("key = 0").select("total").first()
+    model = Model(contexts if whole and all(whole["total"]) else None, labelled.sparkSession)
     scored = add_score(rows.where("fold = 0").select("url", "side"), model, "score")
     step = F.floor(F.greatest(F.lit(-_LIMIT), F.least(F.lit(_LIMIT), F.col("score"))) * (_STEPS / _LIMIT))
     table = scored.groupBy("side", step.alias("step")).agg(F.count("*").alias("n")).collect()
-    return Model(model.accepted, model.rejected, _threshold(table))
+    return replace(model, threshold=_threshold(table))
 
 
 def _threshold(table: list) -> float:
@@ -193,12 +227,22 @@ def _threshold(table: list) -> float:
 
 
 def add_score(df: DataFrame, model: Model, name: str, url: str = "url") -> DataFrame:
-    sent = df.sparkSession.sparkContext.broadcast(model)
-
-    def udf(urls: pd.Series) -> pd.Series:
-        return pd.Series(sent.value.score(urls))
-
-    return df.withColumn(name, F.pandas_udf(udf, "double")(F.col(f"`{url}`")))
+    """``df`` with the log-likelihood ratio for each character on average; 0 for empty URLs."""
+    row = fresh(df.columns, "row")
+    # numbered once and written, so that a number always means the same row
+    kept = saved(df.withColumn(row, F.monotonically_increasing_id()), "urls")
+    table = saved(
+        gram_table(
+            kept.select(
+                F.col(row).alias("row"), F.lit(None).cast("int").alias("side"), F.col(f"`{url}`").alias("url")
+            )
+        ),
+        "grams",
+    )
+    values = own_shuffle(model.values(table.select("gram").distinct()), "gram")
+    score = F.sum(F.col("value") * F.col("n")).cast("double") / F.sum("n")
+    scores = table.join(values, "gram").groupBy(F.col("row").alias(row)).agg(score.alias(name))
+    return kept.join(scores, row, "left").select(*df.columns, F.coalesce(name, F.lit(0.0)).alias(name))
 
 
 def judge_urls(df: DataFrame, url: str = "url", key: str = "page_id", rules=RULES) -> DataFrame:

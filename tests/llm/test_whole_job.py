@@ -7,7 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tallybook.llm import near_copies, simhash
+from tallybook.llm import near_copies, simhash, url_filter
 
 WORDS = [f"w{i}" for i in range(3000)]
 
@@ -52,3 +52,36 @@ def test_near_copies_of_one_original_are_linked_through_it(spark):
     texts = [" ".join(c) for c in [*copies, base]]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert [r["doc_id"] for r in simhash.drop_near_duplicates(df).collect()] == [0]
+
+
+def test_url_contexts_share_no_counts(spark):
+    # far more contexts than any fixed number of slots took
+    rng = np.random.default_rng(6)
+    urls = ["".join(rng.choice(list("abcdefghijklmnop0123456789"), 30)) for _ in range(1500)]
+    rows = [(u, "allow" if i % 2 else "block") for i, u in enumerate(urls)]
+    df = spark.createDataFrame(rows, "url string, verdict string")
+    fold = url_filter.F.pmod(url_filter.F.xxhash64("url"), url_filter.F.lit(url_filter.FOLDS))
+    train = [(r["url"], r["verdict"]) for r in df.where(fold != 0).collect()]
+    counts = [collections.defaultdict(collections.Counter) for _ in range(2)]
+    for u, verdict in train:
+        for i, c in enumerate(u):
+            for k in range(url_filter.ORDER + 1):
+                counts[verdict == "block"][("^" * 5 + u)[5 + i - k : 5 + i]][c] += 1
+    assert len(counts[0]) > 20_000
+
+    def log_likelihood(side, u):
+        total = 0.0
+        for i, c in enumerate(u):
+            p = 1 / url_filter.SYMBOLS
+            for k in range(url_filter.ORDER + 1):
+                own = counts[side].get(("^" * 5 + u)[5 + i - k : 5 + i])
+                if own:
+                    p = (own[c] + len(own) * p) / (sum(own.values()) + len(own))
+            total += np.log(p)
+        return total
+
+    some = urls[:20] + ["zzz/new"]
+    expected = [(log_likelihood(0, u) - log_likelihood(1, u)) / len(u) for u in some]
+    import pandas as pd
+
+    assert np.allclose(url_filter.fit(df).score(pd.Series(some)), expected, atol=1e-9)

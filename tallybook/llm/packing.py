@@ -13,13 +13,17 @@ from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.shared import WORD_SPACE, saved
+from tallybook.llm.shared import WORD_SPACE, new_folder, saved
+from tallybook.llm.token_counts import count_tokens
 
-#: Length of a training sequence.
+#: Length of a training sequence in tokens.
 CAPACITY = 2048
+#: The tokenizer of the token files.
+TOKENIZER = "word_bpe_49k.json"
 #: Texts are dealt to groups of about this many, each packed by one task, so that no task
 #: grows with the corpus. The last bins of a group may stay emptier than need be.
 GROUP = 20_000
@@ -131,15 +135,17 @@ def pack_rows(
     are numbered, written without their texts, and dealt evenly by a hash of the number, a
     hot source or cluster like any other: it meets itself only inside a group, where its
     texts go to different bins. A null source or
-    cluster conflicts with nothing; a size below 1 counts as 1.
+    cluster conflicts with nothing; a size below 1 counts as 1. A column ``row`` of different
+    numbers is taken as it is.
     """
+    number = F.col("row") if "row" in rows.columns else F.monotonically_increasing_id()
     rows = saved(
         rows.select(
             F.col("id"),
             F.greatest(F.coalesce("size", F.lit(1)), F.lit(1)).cast("long").alias("size"),
             F.col("source").cast("string").alias("source"),
             F.col("cluster").cast("long").alias("cluster"),
-            F.monotonically_increasing_id().alias("row"),
+            number.alias("row"),
         ),
         "lengths",
     )
@@ -158,13 +164,6 @@ def pack_rows(
     )
 
 
-def word_length(text: str = "text"):
-    """Words of the whole text and an end mark; 1 for null and empty texts."""
-    trimmed = F.trim(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(WORD_SPACE))
-    words = F.size(F.split(trimmed, r"[\x20\x09-\x0D]+"))
-    return F.when(trimmed == "", 1).otherwise(words + 1)
-
-
 def copy_cluster(text: str = "text"):
     """A number that texts share which differ in case and white space only; null if empty."""
     trimmed = F.trim(F.col(f"`{text}`"), F.lit(WORD_SPACE))
@@ -179,16 +178,28 @@ def pack_texts(
     source: str = "source",
     capacity: int = CAPACITY,
     group: int = GROUP,
+    tokenizer: str | None = None,
 ) -> DataFrame:
     """(key, piece, bin_id, start, length): where each text of ``df`` goes.
 
-    Lengths are in words, one more for the end mark. Every row is placed, null and empty
+    Lengths are in tokens of the file ``tokenizer``, that of the token files by default, one more
+    for the end id; different texts are encoded once. Every row is placed, null and empty
     texts with length 1, repeated rows each for itself; an empty table gives no rows.
     """
-    rows = df.select(
-        F.col(f"`{key}`").alias("id"),
-        word_length(text).alias("size"),
-        F.col(f"`{source}`").alias("source"),
-        copy_cluster(text).alias("cluster"),
+    # numbered once and written, so that a number always means the same row
+    numbered = saved(
+        df.select(
+            F.col(f"`{key}`").alias("id"),
+            F.col(f"`{text}`").alias("text"),
+            F.col(f"`{source}`").alias("source"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
+        "numbered",
+    )
+    path = tokenizer or public_tokenizers.path(TOKENIZER)
+    cache = new_folder(df.sparkSession, "token-cache")
+    sizes = count_tokens(numbered, path, cache, "text", "row").select(
+        F.col("id").alias("row"), (F.col("n_tokens") + 1).alias("size")
     )
+    rows = numbered.select("id", "source", "row", copy_cluster("text").alias("cluster")).join(sizes, "row")
     return pack_rows(rows, capacity, group).withColumnRenamed("id", key)

@@ -3,11 +3,11 @@
 import collections
 import itertools
 
-import duckdb
 import numpy as np
-import pytest
+import public_tokenizers
+from tokenizers import Tokenizer
 
-from tallybook.llm import near_copies, simhash, url_filter
+from tallybook.llm import near_copies, packing, simhash, url_filter
 
 WORDS = [f"w{i}" for i in range(3000)]
 
@@ -85,3 +85,19 @@ def test_url_contexts_share_no_counts(spark):
     import pandas as pd
 
     assert np.allclose(url_filter.fit(df).score(pd.Series(some)), expected, atol=1e-9)
+
+
+def test_packing_lengths_are_tokens(spark):
+    texts = ["日本語" * 1500, "x9Q" * 2000, "it's 12 km, they say", "", None]
+    rows = [(i, t, f"s{i}") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = {
+        i: 1 + len(library.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)
+    }
+    got = packing.pack_texts(df).collect()
+    total = collections.Counter()
+    for r in got:
+        total[r["doc_id"]] += r["length"]
+    assert total == expected and max(expected.values()) > 2048
+    assert max(r["length"] for r in got) <= 2048

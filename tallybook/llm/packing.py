@@ -17,6 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.llm.near_copies import near_copies
 from tallybook.llm.shared import WORD_SPACE, new_folder, saved
 from tallybook.llm.token_counts import count_tokens
 
@@ -164,11 +165,8 @@ def pack_rows(
     )
 
 
-def copy_cluster(text: str = "text"):
-    """A number that texts share which differ in case and white space only; null if empty."""
-    trimmed = F.trim(F.col(f"`{text}`"), F.lit(WORD_SPACE))
-    plain = F.lower(F.regexp_replace(trimmed, r"[\x20\x09-\x0D]+", " "))
-    return F.when(plain != "", F.xxhash64(plain))
+def has_words(text: str = "text"):
+    return F.trim(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(WORD_SPACE)) != ""
 
 
 def pack_texts(
@@ -183,7 +181,8 @@ def pack_texts(
     """(key, piece, bin_id, start, length): where each text of ``df`` goes.
 
     Lengths are in tokens of the file ``tokenizer``, that of the token files by default, one more
-    for the end id; different texts are encoded once. Every row is placed, null and empty
+    for the end id; different texts are encoded once. A cluster is a component of
+    ``near_copies``; texts without words have none. Every row is placed, null and empty
     texts with length 1, repeated rows each for itself; an empty table gives no rows.
     """
     # numbered once and written, so that a number always means the same row
@@ -201,5 +200,13 @@ def pack_texts(
     sizes = count_tokens(numbered, path, cache, "text", "row").select(
         F.col("id").alias("row"), (F.col("n_tokens") + 1).alias("size")
     )
-    rows = numbered.select("id", "source", "row", copy_cluster("text").alias("cluster")).join(sizes, "row")
+    clusters = near_copies(numbered.select(F.col("row").alias("node"), "text")).select(
+        F.col("node").alias("row"), "root"
+    )
+    rows = (
+        numbered.select("id", "source", "row", has_words("text").alias("words"))
+        .join(sizes, "row")
+        .join(clusters, "row")
+        .withColumn("cluster", F.when(F.col("words"), F.col("root")))
+    )
     return pack_rows(rows, capacity, group).withColumnRenamed("id", key)

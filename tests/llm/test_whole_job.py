@@ -101,3 +101,11 @@ def test_packing_lengths_are_tokens(spark):
         total[r["doc_id"]] += r["length"]
     assert total == expected and max(expected.values()) > 2048
     assert max(r["length"] for r in got) <= 2048
+
+
+def test_near_copies_share_no_sequence(spark):
+    base = text_of(np.random.default_rng(9), 100)
+    texts = [" ".join(base), " ".join([*base[:50], "other", *base[51:]]), "quite another text of few words"]
+    df = spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    bins = {r["doc_id"]: r["bin_id"] for r in packing.pack_texts(df).collect()}
+    assert bins[0] != bins[1] and bins[2] in (bins[0], bins[1])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from tallybook.functions.text import strip, strip_currency
 from tallybook.operators.columns import upper_headers
 from tallybook.operators.filters import REFUNDED_APPLICATION, split_on
 from tallybook.operators.match import exact, inner_match, missing_from, stripped
+from tallybook.operators.rules import UNCLASSIFIED
 from tallybook.plans.ledger_common import (
     AMOUNT_MISMATCH,
     MATCHING,
@@ -53,7 +56,17 @@ FAILED_COUNT = {
 def prepare_amounts(
     ledger: DataFrame, statement: DataFrame, amount_mode: str = "integer"
 ) -> tuple[DataFrame, DataFrame]:
-    """``amount_mode='integer'`` compares amounts cut to whole units, ``'exact'`` to the cent."""
+    """``amount_mode='integer'`` compares amounts cut to whole units, ``'exact'`` to the cent.
+
+    Statement rows without a reference are left out.
+    """
+    led, stm = _amount_sides(ledger, statement, amount_mode)
+    return led, stm.where(F.col("RRN") != "")
+
+
+def _amount_sides(
+    ledger: DataFrame, statement: DataFrame, amount_mode: str
+) -> tuple[DataFrame, DataFrame]:
     led, stm = upper_headers(as_text(ledger)), upper_headers(as_text(statement))
     require_columns(led, ("UTR", "AMOUNT", "CR/DR"), "ledger")
     require_columns(stm, ("RRN", "AMOUNT"), "statement")
@@ -68,14 +81,15 @@ def prepare_amounts(
         whole_number_text("RRN").alias("RRN"),
         clean(as_col("AMOUNT")).alias("AMOUNT_STATEMENT"),
         *[c for c in ("BCID", "TRANSACTIONSTATUS") if c in stm.columns],
-    ).where(F.col("RRN") != "")
+    )
     return led, stm
 
 
 def reconcile_amounts(
     ledger: DataFrame, statement: DataFrame, amount_mode: str = "integer"
 ) -> Result:
-    led, stm = prepare_amounts(ledger, statement, amount_mode)
+    led, stm = _amount_sides(ledger, statement, amount_mode)
+    stm, unplaced = split_on(stm, F.col("RRN") != "")
     both = inner_match(led, stm, "UTR", "RRN", exact)
     agree = amounts_equal("AMOUNT_LEDGER", "AMOUNT_STATEMENT")
     rows = stack(
@@ -100,7 +114,10 @@ def reconcile_amounts(
         (statement, row_count("statement_count")),
         total=count_buckets(rows, FAILED_COUNT),
     )
-    return result(rows, numbers)
+    # without a reference nothing can be said about a statement row
+    return replace(
+        result(rows, numbers), unplaced=stack({UNCLASSIFIED: unplaced}, AMOUNT_COLUMNS)
+    )
 
 
 def prepare_references(

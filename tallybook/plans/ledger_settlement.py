@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,9 @@ from tallybook.functions.numbers import amounts_equal, to_decimal
 from tallybook.functions.status import FAILED, lower_status
 from tallybook.functions.text import drop_point_zero, strip
 from tallybook.operators.columns import upper_headers, with_prefix
-from tallybook.operators.filters import NON_TRANSACTION, exclude_matching
+from tallybook.operators.filters import NON_TRANSACTION, exclude_matching, split_on
 from tallybook.operators.match import opaque, own_shuffle
+from tallybook.operators.rules import UNCLASSIFIED
 from tallybook.plans.ledger_common import (
     AMOUNT_MISMATCH,
     MATCHED_NO_COMMISSION,
@@ -127,8 +130,10 @@ def with_commission(compared: DataFrame) -> DataFrame:
 
 
 def _with_ledger(statement: DataFrame, settled: DataFrame) -> DataFrame:
-    """Statement rows with their settling ledger row and its commission row, classified.
+    """All statement rows with their settling ledger row and its commission row, classified.
 
+    ``UNPLACED``: the row has no bucket of its own, because its settlement is a mismatch as a
+    whole, or because it failed and its settlement is unknown.
     Serial numbers identify ledger rows, so the right side has one row per key
     and only the statement side can be hot, which a left join splits.
     """
@@ -136,8 +141,12 @@ def _with_ledger(statement: DataFrame, settled: DataFrame) -> DataFrame:
     paired = F.col("C_SNO").isNotNull()
     open_ = F.coalesce(F.lower("STATUS") != FAILED, F.lit(True))
     rows = statement.join(settled, F.col("SETTLED_ID") == F.col("SNO"), "left")
-    return rows.where(F.coalesce("AGREES", F.lit(False)) | (~known & open_)).select(
-        F.when(~known, F.lit(NOT_IN_LEDGER))
+    differs = known & ~F.coalesce("AGREES", F.lit(False))
+    return rows.select(
+        (differs | (~known & ~open_)).alias("UNPLACED"),
+        F.when(differs, F.lit(AMOUNT_MISMATCH))
+        .when(~known & ~open_, F.lit(UNCLASSIFIED))
+        .when(~known, F.lit(NOT_IN_LEDGER))
         .when(paired, F.lit(MATCHING))
         .otherwise(F.lit(MATCHED_NO_COMMISSION))
         .alias("CATEGORY"),
@@ -160,9 +169,8 @@ def reconcile_settlement(ledger: DataFrame, statement: DataFrame) -> Result:
         .withColumn("CATEGORY", category(is_idle(), NOT_IN_STATEMENT, AMOUNT_MISMATCH))
         .withColumnRenamed("SNO", "SETTLED_ID")
     )
-    rows = stack(
-        {}, COLUMNS, [_with_ledger(stm, with_commission(compared)), ledger_side]
-    )
+    unplaced, placed = split_on(_with_ledger(stm, with_commission(compared)), F.col("UNPLACED"))
+    rows = stack({}, COLUMNS, [placed, ledger_side])
     numbers = counts(
         (ledger, row_count("ledger_count")),
         (statement, row_count("statement_count")),
@@ -175,4 +183,4 @@ def reconcile_settlement(ledger: DataFrame, statement: DataFrame) -> Result:
             },
         ),
     )
-    return result(rows, numbers)
+    return replace(result(rows, numbers), unplaced=stack({}, COLUMNS, [unplaced]))

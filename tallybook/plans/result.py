@@ -16,13 +16,15 @@ from tallybook.operators.summary import bucket_sizes
 class Result:
     """Rows in one frame, told apart by ``CATEGORY``, and ``(metric, value)`` counts. Both lazy.
 
-    ``days``: the comparison of daily totals, of plans that make one.
+    ``days``: the comparison of daily totals, of plans that make one. ``unplaced``: input rows
+    that no bucket holds, with a ``CATEGORY``, of plans that have such rows.
     """
 
     buckets: DataFrame
     counts: DataFrame
     settled: Sequence[str] = ()
     days: DataFrame | None = None
+    unplaced: DataFrame | None = None
 
     def bucket(self, category: str) -> DataFrame:
         return self.buckets.where(F.col("CATEGORY") == category)

@@ -196,7 +196,8 @@ def _least(unit: np.ndarray, counts: np.ndarray, centre: np.ndarray) -> np.ndarr
         if len(own) >= 20:
             least[k] = REJECT_SLACK * np.quantile(own, REJECT_SHARE)
         elif k:
-            least[k] = min(least[k - 1], 0.05) if not len(own) else least[k - 1]
+            # a longer text of a language lies nearer to it
+            least[k] = least[k - 1]
     return least
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tallybook.llm import near_copies, packing, simhash, url_filter
+from tallybook.llm import language_id, near_copies, packing, simhash, url_filter
 
 WORDS = [f"w{i}" for i in range(3000)]
 
@@ -109,3 +109,18 @@ def test_near_copies_share_no_sequence(spark):
     df = spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate(texts)], "doc_id long, text string, source string")
     bins = {r["doc_id"]: r["bin_id"] for r in packing.pack_texts(df).collect()}
     assert bins[0] != bins[1] and bins[2] in (bins[0], bins[1])
+
+
+def test_long_texts_are_rejected_too(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(10)
+    english = "the old river runs past green hills where people walk and talk of rain and bread".split()
+    german = "der alte Fluss geht an den hohen Bergen vorbei und die Leute reden gern vom Wetter".split()
+    say = lambda words, n: " ".join(rng.choice(words, n))
+    rows = [(say(w, int(rng.integers(50, 200))), n) for w, n in ((english, "en"), (german, "de")) for _ in range(60)]
+    model = language_id.fit(spark.createDataFrame(rows, "text string, lang string"))
+    cyrillic = "старая река течет мимо зеленых холмов где люди гуляют и говорят о дожде".split()
+    noise = " ".join("".join(rng.choice(list("bcdfghjklmnpqrstvwxz0123456789"), 7)) for _ in range(20_000))
+    found = model.predict(pd.Series([say(cyrillic, 20_000), noise, say(english, 20_000), say(german, 20_000)]))
+    assert found["rejected"].tolist() == [True, True, False, False]

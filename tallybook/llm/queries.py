@@ -17,6 +17,7 @@ from tallybook.llm.token_counts import token_report
 from tallybook.llm.token_files import token_file_report
 from tallybook.llm.url_filter import judge_urls
 from tallybook.llm.warc import archive_report
+from tallybook.llm.whitening import whitening_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +69,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening_report(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -80,6 +85,7 @@ def queries() -> dict[str, Query]:
         "op8_decontamination": op8_decontamination,
         "op9_packing": op9_packing,
         "op10_url_filter": op10_url_filter,
+        "op12_whitening": op12_whitening,
     }
 
 

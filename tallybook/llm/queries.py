@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallybook.llm.alignment import alignment_report
 from tallybook.llm.decontaminate import contaminated_pairs
 from tallybook.llm.html_blocks import extract_main_text
 from tallybook.llm.language_id import language_report
@@ -73,6 +74,14 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening_report(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -86,6 +95,7 @@ def queries() -> dict[str, Query]:
         "op9_packing": op9_packing,
         "op10_url_filter": op10_url_filter,
         "op12_whitening": op12_whitening,
+        "op13_alignment": op13_alignment,
     }
 
 

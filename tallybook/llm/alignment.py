@@ -28,13 +28,13 @@ from pyspark.sql.types import StructField, StructType
 from tokenizers import Tokenizer
 
 from tallybook.errors import TallyError
-from tallybook.llm.shared import Pieces, fresh, saved
+from tallybook.llm.shared import Pieces, ShortPieces, fresh, saved
 from tallybook.llm.tokenizing import Encoder
 
 #: Rows are handed on when they hold so many links.
 CHUNK = 1 << 20
-#: Longer units of text are encoded each time.
-LONGEST = 64
+#: Texts of groups of more bytes of ids are not remembered.
+GROUP_BYTES = 256
 #: Tokens compared in the first probe of a stretch.
 FIRST_PROBE = 16
 #: Pairs that may be broadcast: 12 bytes each.
@@ -98,7 +98,7 @@ def sentence_side(path: str) -> Side:
 
     # no piece goes on behind a space, so what lies between such places is encoded for itself
     apart = not any(_GOES_ON.search(model.id_to_piece(i)) for i in range(len(pieces)))
-    units = _Units(ids_of)
+    units = ShortPieces(ids_of)
 
     def encode(text: str) -> np.ndarray:
         found = _UNIT.findall(" " + text) if apart else [" " + text]
@@ -107,13 +107,6 @@ def sentence_side(path: str) -> Side:
     return Side(encode, pieces)
 
 
-class _Units(Pieces):
-    """Remembers short units of text only, so that its size is bounded in bytes too."""
-
-    def __missing__(self, piece: str) -> bytes:
-        return super().__missing__(piece) if len(piece) <= LONGEST else self._compute(piece)
-
-
 @lru_cache(maxsize=4)
 def _side(path: str) -> Side:
     """One for each worker process and file."""
@@ -194,7 +187,7 @@ class Alignment:
         cuts = (size * np.stack([i[uneven], i[uneven + 1], j[uneven], j[uneven + 1]])).T.tolist()
         for g, (p, q, r, s) in zip(uneven.tolist(), cuts, strict=True):
             ids = a[p:q], b[r:s]
-            out[g] = _group[ids] if q - p + s - r <= 4 * LONGEST else _group_text(ids)
+            out[g] = _group[ids] if q - p + s - r <= GROUP_BYTES else _group_text(ids)
         return hashlib.sha256(";".join(out).encode()).hexdigest()
 
 

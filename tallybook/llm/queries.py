@@ -14,6 +14,7 @@ from tallybook.llm.language_id import language_report
 from tallybook.llm.packing import pack_texts
 from tallybook.llm.quality_rules import quality_report
 from tallybook.llm.simhash import near_duplicates
+from tallybook.llm.spotsigs import spot_report
 from tallybook.llm.token_counts import token_report
 from tallybook.llm.token_files import token_file_report
 from tallybook.llm.url_filter import judge_urls
@@ -70,6 +71,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
+def op11_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening_report(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -94,6 +99,7 @@ def queries() -> dict[str, Query]:
         "op8_decontamination": op8_decontamination,
         "op9_packing": op9_packing,
         "op10_url_filter": op10_url_filter,
+        "op11_spotsigs": op11_spotsigs,
         "op12_whitening": op12_whitening,
         "op13_alignment": op13_alignment,
     }

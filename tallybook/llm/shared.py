@@ -70,3 +70,12 @@ class Pieces(dict):
             self.clear()
         value = self[piece] = self._compute(piece)
         return value
+
+
+class ShortPieces(Pieces):
+    """As ``Pieces``, but long pieces are computed each time, so that its bytes are bounded too."""
+
+    LONGEST = 64
+
+    def __missing__(self, piece):
+        return super().__missing__(piece) if len(piece) <= self.LONGEST else self._compute(piece)

@@ -93,11 +93,15 @@ def sentence_side(path: str) -> Side:
         for i in range(model.get_piece_size())
     ]
 
+    space = model.piece_to_id("▁")
+
     def ids_of(unit: str) -> bytes:
-        return np.array(model.encode(unit[1:]), np.int32).tobytes()
+        # the model puts no space in front of nothing
+        ids = [space] if unit == " " else model.encode(unit[1:])
+        return np.array(ids, np.int32).tobytes()
 
-    # no piece goes on behind a space, so what lies between such places is encoded for itself
-    apart = not any(_GOES_ON.search(model.id_to_piece(i)) for i in range(len(pieces)))
+    # no piece has a space behind another character, so what lies between such places is encoded for itself
+    apart = space != model.unk_id() and not any(_GOES_ON.search(model.id_to_piece(i)) for i in range(len(pieces)))
     units = ShortPieces(ids_of)
 
     def encode(text: str) -> np.ndarray:

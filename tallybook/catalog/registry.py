@@ -21,6 +21,7 @@ _MODULES = (
     "joins",
     "extracts",
     "ledgers",
+    "audit",
     "services",
     "members",
 )

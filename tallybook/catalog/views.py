@@ -781,3 +781,92 @@ SELECT CASE WHEN l_suppkey % 9 = 4 THEN 'no date'
        CASE WHEN l_suppkey % 11 = 5 THEN 'n/a'
             ELSE CAST(-CAST(count(*) AS DECIMAL(18,2)) AS STRING) END AS {d.name("Used Amount")}
 FROM {d.table("lineitem")} GROUP BY l_suppkey"""
+
+
+# ---------------------------------- ledgers and statements with unreadable values
+
+
+def _soiled(name: str, base: str, columns: str, **changes: tuple[str, str]) -> None:
+    """View ``soiled_<base>``: ``base`` with text instead of a value where a condition holds.
+
+    ``columns``: all columns, separated by ``|``. ``changes``: by column, with underscores for
+    what no argument name can have, the ending of ``name`` on which it changes, and the text put there.
+    """
+
+    def build(d: Dialect) -> str:
+        shown = []
+        for column in columns.split("|"):
+            ending, text = changes.get("".join(c if c.isalnum() else "_" for c in column), (None, None))
+            if ending is None:
+                shown.append(d.name(column))
+            else:
+                key = f"trim({d.name(name)})"
+                shown.append(
+                    f"CASE WHEN {key} LIKE '%{ending}' THEN '{text}' ELSE {d.name(column)} END AS {d.name(column)}"
+                )
+        return f"SELECT {', '.join(shown)} FROM {d.table(base)}"
+
+    VIEWS[f"soiled_{base}"] = View((base,), build)
+
+
+_soiled(
+    "TXNID",
+    "refund_ledger",
+    "TXNID|TYPE|AMOUNT|COMM/SHARE|TDS|DATE|REFID",
+    AMOUNT=("13", "n/a"),
+    COMM_SHARE=("3", "--"),
+    DATE=("7", "31.31.2020"),
+)
+_soiled(
+    "TXNID",
+    "refund_statement",
+    "TXNID|STATUS|AMOUNT|NET COMMISSION|TDS|DATE|REFID|REFUND",
+    AMOUNT=("21", "1,250.00"),
+    DATE=("9", "yesterday"),
+)
+_soiled(
+    "SNO",
+    "settlement_ledger",
+    "SNO|TXNTYPE|Type |AMOUNT|DATE",
+    AMOUNT=("14", "INR 5"),
+    SNO=("77", "row 77"),
+)
+_soiled(
+    "SERIALNUMBER",
+    "settled_statement",
+    "SETTLED_ID|AMOUNT|COMMISSION|STATUS|SERIALNUMBER|ACKNO|UTR",
+    AMOUNT=("12.0", "void"),
+    SETTLED_ID=("3.0", "12.5.0"),
+)
+_soiled(
+    "Chq / Ref No.",
+    "bank_ledger",
+    "Chq / Ref No.|Debit|Credit|Description|Transaction Date",
+    Debit=("5", "5 Dr"),
+    Credit=("9", "refund"),
+)
+_soiled(
+    "Transaction Ref ID",
+    "bank_statement",
+    "Transaction Ref ID|Transaction Amount(RS.)|NPCI Transaction Desc|Transaction Date",
+    Transaction_Amount_RS__=("8", "error"),
+)
+_soiled(
+    "TID",
+    "premium_ledger",
+    "TID|Reference TID|DR|CR|Date",
+    DR=("6", "ten"),
+    CR=("8", "ten"),
+)
+_soiled(
+    "Reference No",
+    "card_ledger",
+    "Reference No|UTIITSL Amount|Lot Date",
+    UTIITSL_Amount=("4", "107/-"),
+)
+_soiled(
+    "Reference No",
+    "card_statement",
+    "Reference No|Res Amount|Trans Date|Payment Status",
+    Res_Amount=("2", "unknown"),
+)

@@ -13,5 +13,9 @@ class DuplicateKeyError(TallyError):
     """A join that must be one-to-one met a repeated key."""
 
 
+class UnbalancedError(TallyError):
+    """A result does not account for every input row."""
+
+
 class UnknownServiceError(TallyError):
     """No configuration exists for the requested service or option."""

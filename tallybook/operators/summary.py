@@ -12,12 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions._cols import as_col
 from tallybook.functions.status import FAILED, SUCCESS, TIMED_OUT, lower_status
+from tallybook.operators.columns import union_aligned
 from tallybook.operators.match import exact, key_set, stripped
 from tallybook.operators.rules import (
     NOT_IN_PORTAL,
@@ -76,6 +78,41 @@ def pair_counts(
     return to_metrics(wide)
 
 
+def one_if(test: Column) -> Column:
+    """1 where the test holds, else 0."""
+    return F.when(test, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+
+def stacked_sums(
+    keys: Sequence[str], *sides: tuple[DataFrame, Sequence[Column], Mapping[str, Column]]
+) -> DataFrame:
+    """One row per key with sums from several frames, each ``(frame, key columns, numbers by name)``.
+
+    The frames are stacked, not joined: one grouping, whose map tasks reduce a hot key to
+    one row, says what each frame has of a key, and 0 for those that do not have it. Null keys form a
+    group like any other.
+    """
+    names = [name for *_, numbers in sides for name in numbers]
+    parts = [
+        frame.select(
+            *[form.alias(key) for key, form in zip(keys, forms, strict=True)],
+            *[numbers.get(name, F.lit(0)).cast("bigint").alias(name) for name in names],
+        )
+        for frame, forms, numbers in sides
+    ]
+    return union_aligned(*parts).groupBy(*keys).agg(*[F.sum(name).alias(name) for name in names])
+
+
+def product(*names: str) -> Column:
+    """Product of counts, wide enough for pairs of any two tables."""
+    return reduce(lambda a, b: a * b, [F.col(n).cast(_WIDE) for n in names])
+
+
+def totals(df: DataFrame, numbers: Mapping[str, Column]) -> DataFrame:
+    """``(metric, value)`` rows: sums of numbers over a frame, 0 of an empty one."""
+    return to_metrics(df.agg(*[_total(number).alias(name) for name, number in numbers.items()]))
+
+
 def _total(c: Column) -> Column:
     return F.coalesce(F.sum(c.cast(_WIDE)), F.lit(0).cast(_WIDE)).cast("bigint")
 

@@ -15,16 +15,19 @@ from tallybook.operators.columns import upper_headers
 from tallybook.operators.filters import REFUNDED_APPLICATION, split_on
 from tallybook.operators.match import exact, inner_match, missing_from, stripped
 from tallybook.operators.rules import UNCLASSIFIED
+from tallybook.operators.summary import one_if, product, stacked_sums, totals
 from tallybook.plans.ledger_common import (
     AMOUNT_MISMATCH,
+    LEDGER_ROW,
     MATCHING,
     NOT_IN_LEDGER,
     NOT_IN_STATEMENT,
+    REFUNDED,
+    STATEMENT_ROW,
+    by_key,
     category,
-    count_buckets,
-    counts,
+    numbers_of,
     result,
-    row_count,
     stack,
 )
 from tallybook.plans.result import Result
@@ -47,10 +50,6 @@ REFERENCE_COLUMNS = (
     "LEDGER_DATE",
     "STATEMENT_DATE",
 )
-FAILED_COUNT = {
-    "matched_trans_count": [MATCHING],
-    "failed_trans_count": [NOT_IN_LEDGER, NOT_IN_STATEMENT],
-}
 
 
 def prepare_amounts(
@@ -76,11 +75,13 @@ def _amount_sides(
         clean(strip_currency("AMOUNT")).alias("AMOUNT_LEDGER"),
         as_col("CR/DR").alias("SIDE"),
         "DATE",
+        *numbers_of(led, LEDGER_ROW),
     )
     stm = stm.select(
         whole_number_text("RRN").alias("RRN"),
         clean(as_col("AMOUNT")).alias("AMOUNT_STATEMENT"),
         *[c for c in ("BCID", "TRANSACTIONSTATUS") if c in stm.columns],
+        *numbers_of(stm, STATEMENT_ROW),
     )
     return led, stm
 
@@ -103,20 +104,38 @@ def reconcile_amounts(
         AMOUNT_COLUMNS,
         [both.withColumn("CATEGORY", category(agree, MATCHING, AMOUNT_MISMATCH))],
     )
-    numbers = counts(
+    numbers = count_amounts(led, stm, unplaced)
+    # without a reference nothing can be said about a statement row
+    return replace(
+        result(rows, numbers), unplaced=stack({UNCLASSIFIED: unplaced}, AMOUNT_COLUMNS)
+    )
+
+
+def count_amounts(led: DataFrame, stm: DataFrame, unplaced: DataFrame) -> DataFrame:
+    """The counts, from one row per reference and amount, then one per reference."""
+    amounts = stacked_sums(
+        ["key", "amount"],
         (
             led,
-            {
-                **row_count("ledger_count"),
-                "ledger_credit_count": lower_status("SIDE") == "cr",
-            },
+            [F.col("UTR"), F.col("AMOUNT_LEDGER")],
+            {"l": F.lit(1), "l_credit": one_if(lower_status("SIDE") == "cr")},
         ),
-        (statement, row_count("statement_count")),
-        total=count_buckets(rows, FAILED_COUNT),
+        (stm, [F.col("RRN"), F.col("AMOUNT_STATEMENT")], {"s": F.lit(1)}),
+        (unplaced, [F.col("RRN"), F.col("AMOUNT_STATEMENT")], {"blank": F.lit(1)}),
     )
-    # without a reference nothing can be said about a statement row
-    return replace(
-        result(rows, numbers), unplaced=stack({UNCLASSIFIED: unplaced}, AMOUNT_COLUMNS)
+    keys = by_key(amounts, "l", "l_credit", "s", "blank")
+    alone = F.when(F.col("s") == 0, F.col("l")).otherwise(F.lit(0)) + F.when(
+        F.col("l") == 0, F.col("s")
+    ).otherwise(F.lit(0))
+    return totals(
+        keys,
+        {
+            "ledger_count": F.col("l"),
+            "ledger_credit_count": F.col("l_credit"),
+            "statement_count": F.col("s") + F.col("blank"),
+            "matched_trans_count": F.col("equal"),
+            "failed_trans_count": alone,
+        },
     )
 
 
@@ -132,11 +151,16 @@ def prepare_references(
         strip("REFERENCE NO").alias("LDG_REFERENCE_NO"),
         as_col("UTIITSL AMOUNT").alias("AMOUNT_LEDGER"),
         as_col("LOT DATE").alias("LEDGER_DATE"),
+        *numbers_of(led, LEDGER_ROW),
     )
-    clean = clean.select(
-        strip("REFERENCE NO").alias("STMT_REFERENCE_NO"),
-        as_col("RES AMOUNT").alias("AMOUNT_STATEMENT"),
-        as_col("TRANS DATE").alias("STATEMENT_DATE"),
+    clean, refunded = (
+        df.select(
+            strip("REFERENCE NO").alias("STMT_REFERENCE_NO"),
+            as_col("RES AMOUNT").alias("AMOUNT_STATEMENT"),
+            as_col("TRANS DATE").alias("STATEMENT_DATE"),
+            *numbers_of(df, STATEMENT_ROW),
+        )
+        for df in (clean, refunded)
     )
     return led, clean, refunded
 
@@ -152,15 +176,27 @@ def reconcile_references(ledger: DataFrame, statement: DataFrame) -> Result:
         },
         REFERENCE_COLUMNS,
     )
-    missing = [NOT_IN_LEDGER, NOT_IN_STATEMENT]
-    parts = counts(
-        (ledger, row_count("ledger_count")),
-        (statement, row_count("statement_count")),
-        (refunded, row_count("failed_trans_count")),
-        total=count_buckets(
-            rows,
-            {"matched_trans_count": [MATCHING], "failed_trans_count": missing},
-        ),
+    numbers = count_references(led, stm, refunded)
+    return replace(result(rows, numbers), unplaced=stack({REFUNDED: refunded}, REFERENCE_COLUMNS))
+
+
+def count_references(led: DataFrame, stm: DataFrame, refunded: DataFrame) -> DataFrame:
+    keys = stacked_sums(
+        ["key"],
+        (led, [stripped("LDG_REFERENCE_NO")], {"l": F.lit(1)}),
+        (stm, [stripped("STMT_REFERENCE_NO")], {"s": F.lit(1)}),
+        (refunded, [F.lit(None).cast("string")], {"refunded": F.lit(1)}),
+    )
+    known = F.col("key").isNotNull()
+    alone_l = F.when(known & (F.col("s") > 0), F.lit(0)).otherwise(F.col("l"))
+    alone_s = F.when(known & (F.col("l") > 0), F.lit(0)).otherwise(F.col("s"))
+    return totals(
+        keys,
+        {
+            "ledger_count": F.col("l"),
+            "statement_count": F.col("s") + F.col("refunded"),
+            "matched_trans_count": F.when(known, product("l", "s")),
+            # refunded applications are failed transactions as well
+            "failed_trans_count": alone_l + alone_s + F.col("refunded"),
+        },
     )
-    # refunded applications are failed transactions as well
-    return result(rows, parts.groupBy("metric").agg(F.sum("value").alias("value")))

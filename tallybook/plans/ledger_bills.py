@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,19 +23,22 @@ from tallybook.operators.filters import (
     looks_failed,
     says_failed,
 )
-from tallybook.operators.match import exact, inner_match, missing_from, opaque
+from tallybook.operators.match import exact, inner_match, missing_from, opaque, present_in
+from tallybook.operators.rules import UNCLASSIFIED
+from tallybook.operators.summary import one_if, product, stacked_sums, totals
 from tallybook.plans.ledger_common import (
     AMOUNT_MISMATCH,
     CREDIT_NOT_IN_STATEMENT,
+    LEDGER_ROW,
+    LINKED_ROW,
     MATCHING,
     NOT_IN_LEDGER,
     NOT_IN_STATEMENT,
     NOT_REFUNDED,
     REFUND_MISMATCH,
-    count_buckets,
-    counts,
+    STATEMENT_ROW,
+    numbers_of,
     result,
-    row_count,
     stack,
 )
 from tallybook.plans.result import Result
@@ -57,6 +62,8 @@ COLUMNS = (
 )
 REFUND_REFERENCE = r"REF-([A-Z0-9]+)-"
 REFUND_DATE_LAYOUTS = ("MM/dd/yyyy", "ddMMyyyy")
+# Not part of the fixed values: refunds of transactions that did not fail.
+REFUND_OF_NOTHING = "REFUND_WITHOUT_FAILURE"
 
 
 def prepare(
@@ -73,12 +80,14 @@ def prepare(
         strip("CREDIT").alias("CREDIT"),
         strip("DESCRIPTION").alias("DESCRIPTION"),
         as_col("TRANSACTION DATE").alias("LEDGER_DATE"),
+        *numbers_of(led, LEDGER_ROW),
     )
     stm = stm.select(
         strip("STATEMENT_REF").alias("STATEMENT_REF"),
         clean("AMOUNT_STATEMENT").alias("AMOUNT_STATEMENT"),
         strip("TRANSACTION_STATUS").alias("TRANSACTION_STATUS"),
         as_col("TRANSACTION DATE").alias("STATEMENT_DATE"),
+        *numbers_of(stm, STATEMENT_ROW),
     )
     return led, stm
 
@@ -92,6 +101,7 @@ def refund_entries(ledger: DataFrame) -> DataFrame:
             "ACTUAL_TRANS_DATE"
         ),
         F.col("LEDGER_DATE").alias("REFUND_DATE"),
+        *numbers_of(ledger, LEDGER_ROW, LINKED_ROW),
     )
 
 
@@ -128,7 +138,7 @@ def reconcile_bills(
         & looks_failed("TRANSACTION_STATUS")
         & agree
     )
-    refund = refunds.select("REF_NUMBER", "REFUNDED_AMOUNT")
+    refund = refunds.select("REF_NUMBER", "REFUNDED_AMOUNT", *numbers_of(refunds, LINKED_ROW))
     open_failed = says_failed("TRANSACTION_STATUS") & F.col("REFUNDED_AMOUNT").isNull()
     matched = both.join(refund, full, "left").withColumn(
         "CATEGORY",
@@ -165,26 +175,86 @@ def reconcile_bills(
         COLUMNS,
         [shown(matched, "LEDGER_REF", "LEDGER_DATE")],
     )
-    numbers = counts(
+    numbers = count_bills(led, stm, refunds)
+    unplaced = {UNCLASSIFIED: shown(_others(led, stm), "LEDGER_REF", "LEDGER_DATE")}
+    idle = refunds_of_nothing(refunds, stm, failed).drop("ACTUAL_TRANS_DATE")
+    return replace(
+        result(rows, numbers),
+        unplaced=stack(
+            {**unplaced, REFUND_OF_NOTHING: shown(idle, "REF_NUMBER", "REFUND_DATE")}, COLUMNS
+        ),
+    )
+
+
+def count_bills(led: DataFrame, stm: DataFrame, refunds: DataFrame) -> DataFrame:
+    """The counts, from one row per reference and amount, then one per reference.
+
+    A failed transaction meets every refund of its reference; those of its own amount are right, the
+    others are mismatches.
+    """
+    amounts = stacked_sums(
+        ["key", "amount"],
         (
             led,
+            [F.col("LEDGER_REF"), F.col("AMOUNT_LEDGER")],
             {
-                **row_count("ledger_count"),
-                "ledger_credit_count": F.col("CREDIT").isNotNull(),
+                "l": F.lit(1),
+                "l_bill": one_if(has_bill_prefix("LEDGER_REF")),
+                "l_credit": one_if(F.col("CREDIT").isNotNull()),
             },
         ),
-        (stm, row_count("statement_count")),
-        (equal, row_count("matched_trans_count")),
-        total=count_buckets(
-            rows,
-            {
-                "failed_trans_count": [
-                    NOT_IN_STATEMENT,
-                    NOT_IN_LEDGER,
-                    AMOUNT_MISMATCH,
-                    REFUND_MISMATCH,
-                ]
-            },
+        (
+            stm,
+            [F.col("STATEMENT_REF"), F.col("AMOUNT_STATEMENT")],
+            {"s": F.lit(1), "s_failed": one_if(looks_failed("TRANSACTION_STATUS"))},
         ),
     )
-    return result(rows, numbers)
+    usable = F.col("key").isNotNull() & F.col("amount").isNotNull()
+    names = ("l", "l_bill", "l_credit", "s", "equal", "failed")
+    amounts = amounts.withColumns(
+        {
+            "equal": F.when(usable, product("l", "s")).otherwise(F.lit(0)),
+            "failed": F.when(usable, product("l", "s_failed")).otherwise(F.lit(0)),
+        }
+    )
+    # refunds are compared as numbers, so amounts that are written differently may be one number
+    refunded = stacked_sums(
+        ["key", "number"],
+        (amounts, [F.col("key"), to_number("amount")], {n: F.col(n) for n in names}),
+        (refunds, [F.col("REF_NUMBER"), F.col("REFUNDED_AMOUNT")], {"refunds": F.lit(1)}),
+    )
+    known = F.col("key").isNotNull()
+    right = F.when(known & F.col("number").isNotNull(), product("failed", "refunds"))
+    keys = refunded.groupBy("key").agg(
+        *[F.sum(n).alias(n) for n in (*names, "refunds")],
+        F.coalesce(F.sum(right), F.lit(0)).alias("right"),
+    )
+    missing = F.when(known & (F.col("s") > 0), F.lit(0)).otherwise(F.col("l_bill")) + F.when(
+        known & (F.col("l") > 0), F.lit(0)
+    ).otherwise(F.col("s"))
+    unequal = F.when(known, product("l", "s") - F.col("equal")).otherwise(F.lit(0))
+    wrong = F.when(known, product("failed", "refunds") - F.col("right")).otherwise(F.lit(0))
+    return totals(
+        keys,
+        {
+            "ledger_count": F.col("l"),
+            "ledger_credit_count": F.col("l_credit"),
+            "statement_count": F.col("s"),
+            "matched_trans_count": F.col("equal"),
+            "failed_trans_count": missing + unequal + wrong,
+        },
+    )
+
+
+def refunds_of_nothing(refunds: DataFrame, statement: DataFrame, failed: DataFrame) -> DataFrame:
+    """Refunds of a reference that the statement has, but not as a failed transaction with an equal amount."""
+    known = present_in(refunds, statement, "REF_NUMBER", "STATEMENT_REF", exact)
+    return missing_from(known, failed, "REF_NUMBER", "LEDGER_REF", exact)
+
+
+def _others(ledger: DataFrame, statement: DataFrame) -> DataFrame:
+    """Ledger rows that are neither a bill nor a refund, and that the statement does not have."""
+    rest = ledger.where(
+        ~has_bill_prefix("LEDGER_REF") & ~F.coalesce(is_refund_entry("CREDIT", "DESCRIPTION"), F.lit(False))
+    )
+    return missing_from(rest, statement, "LEDGER_REF", "STATEMENT_REF", exact)

@@ -17,17 +17,20 @@ from tallybook.operators.match import (
     opaque,
 )
 from tallybook.operators.rules import UNCLASSIFIED
+from tallybook.operators.summary import one_if, product, stacked_sums, totals
 from tallybook.plans.ledger_common import (
     AMOUNT_MISMATCH,
+    LEDGER_ROW,
+    LINKED_ROW,
     MATCHED_NO_COMMISSION,
     MATCHING,
     NOT_IN_LEDGER,
     NOT_IN_STATEMENT,
+    STATEMENT_ROW,
+    by_key,
     category,
-    count_buckets,
-    counts,
+    numbers_of,
     result,
-    row_count,
     stack,
 )
 from tallybook.plans.result import Result
@@ -56,11 +59,13 @@ def prepare(ledger: DataFrame, statement: DataFrame) -> tuple[DataFrame, DataFra
         to_decimal("DR").alias("LDG_AMOUNT"),
         to_decimal("CR").alias("COMM_AMT"),
         *([as_col("DATE").alias("LDG_DATE")] if "DATE" in led.columns else []),
+        *numbers_of(led, LEDGER_ROW),
     )
     stm = stm.select(
         F.when(strip("IMWTID") != NO_ID, strip("IMWTID")).alias("STMT_TID"),
         to_decimal("AMOUNT").alias("STMT_AMOUNT"),
         *([as_col("DATE").alias("STMT_DATE")] if "DATE" in stm.columns else []),
+        *numbers_of(stm, STATEMENT_ROW),
     )
     return led, stm
 
@@ -75,6 +80,7 @@ def children(parents: DataFrame, candidates: DataFrame) -> DataFrame:
         F.col("LDG_TID").alias("COMMISSION_TID"),
         F.col("PARENT_TID").alias("CHILD_OF"),
         F.col("COMM_AMT").alias("CHILD_AMT"),
+        *numbers_of(candidates, LEDGER_ROW, LINKED_ROW),
     )
     return (
         parents.drop("COMM_AMT")
@@ -117,20 +123,53 @@ def reconcile_commission(ledger: DataFrame, statement: DataFrame) -> Result:
             dated(statement_only, "STMT_DATE").withColumnRenamed("STMT_TID", "LDG_TID"),
         ],
     )
+    return result(rows, count_commissions(led, stm))
+
+
+def count_commissions(led: DataFrame, stm: DataFrame) -> DataFrame:
+    """The counts, from one row per id and amount, then one per id, joined with the number of its children."""
     has_commission = F.col("COMM_AMT").isNotNull() & (F.col("COMM_AMT") != 0)
-    missing = count_buckets(
+    amounts = stacked_sums(
+        ["key", "amount"],
+        (
+            led,
+            [F.col("LDG_TID"), F.col("LDG_AMOUNT")],
+            {"l": F.lit(1), "l_credit": one_if(has_commission)},
+        ),
+        (
+            stm,
+            [F.col("STMT_TID"), F.col("STMT_AMOUNT")],
+            {"s": one_if(F.col("STMT_TID").isNotNull())},
+        ),
+    )
+    keys = by_key(amounts, "l", "l_credit", "s")
+    # ledger rows that the statement does not have, by the row that they point to
+    pointers = led.groupBy("LDG_TID", "PARENT_TID").agg(F.count("*").alias("n"))
+    known = keys.where("s > 0").select(F.col("key").alias("of_both"))
+    children = (
+        pointers.join(known, F.col("LDG_TID") == F.col("of_both"), "left")
+        .where(F.col("of_both").isNull())
+        .groupBy("PARENT_TID")
+        .agg(F.sum("n").alias("children"))
+    )
+    rows = keys.join(children, F.col("key") == F.col("PARENT_TID"), "full")
+    numbers = {n: F.coalesce(n, F.lit(0)) for n in ("l", "l_credit", "s", "equal", "children")}
+    rows = rows.select("key", *[c.alias(n) for n, c in numbers.items()])
+    known = F.col("key").isNotNull()
+    pairs = F.when(known, product("l", "s")).otherwise(F.lit(0))
+    unequal = pairs - F.col("equal")
+    alone = F.when(known & (F.col("l") == 0), F.col("s")).otherwise(F.lit(0))
+    # their parent is no matched row, or they have none
+    orphans = F.when(pairs > 0, F.lit(0)).otherwise(F.col("children"))
+    return totals(
         rows,
         {
-            "matched_trans_count": [MATCHING],
-            "amount_mismatch_shown_count": [AMOUNT_MISMATCH],
-            "failed_trans_count": [NOT_IN_LEDGER, NOT_IN_STATEMENT],
+            "ledger_count": F.col("l"),
+            "ledger_credit_count": F.col("l_credit"),
+            "statement_count": F.col("s"),
+            "matched_trans_count": product("equal", "children"),
+            "amount_mismatch_shown_count": unequal * F.greatest("children", F.lit(1)),
+            # every unequal pair is a failure, also one without a commission row to show
+            "failed_trans_count": alone + orphans + unequal,
         },
     )
-    parts = counts(
-        (led, {**row_count("ledger_count"), "ledger_credit_count": has_commission}),
-        (stm, {"statement_count": has_id}),
-        # every unequal pair is a failure, also one without a commission row to show
-        (both, {"failed_trans_count": ~agree}),
-        total=missing,
-    )
-    return result(rows, parts.groupBy("metric").agg(F.sum("value").alias("value")))

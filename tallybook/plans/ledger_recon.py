@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
+from tallybook.config.ledger_files import ledger_files
 from tallybook.errors import UnknownServiceError
+from tallybook.operators.rejects import accepted, rejected
 from tallybook.plans.ledger_amounts import reconcile_amounts, reconcile_references
 from tallybook.plans.ledger_bills import reconcile_bills
 from tallybook.plans.ledger_commission import reconcile_commission
@@ -29,7 +32,15 @@ LEDGER_PLANS: dict[str, Callable[[DataFrame, DataFrame], Result]] = {
 
 
 def reconcile_ledger(service: str, ledger: DataFrame, statement: DataFrame) -> Result:
-    """Buckets and counts for one service's pair of files."""
+    """Buckets and counts for one service's pair of files, and the rows with unreadable values.
+
+    Lines that do not fit their file's layout (see ``read_csv``) take no part.
+    """
     if service not in LEDGER_PLANS:
         raise UnknownServiceError(f"no ledger reconciliation for '{service}'")
-    return LEDGER_PLANS[service](ledger, statement)
+    files = ledger_files(service)
+    found = LEDGER_PLANS[service](accepted(ledger), accepted(statement))
+    rejects = rejected(ledger, "ledger", files.ledger).unionByName(
+        rejected(statement, "statement", files.statement)
+    )
+    return replace(found, rejects=rejects)

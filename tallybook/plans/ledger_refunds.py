@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,16 +18,17 @@ from tallybook.operators.match import (
     missing_from,
     stripped,
 )
+from tallybook.operators.summary import one_if, product, stacked_sums, totals
 from tallybook.plans.ledger_common import (
+    FAILED_PAIR,
+    LEDGER_ROW,
     MATCHING,
     NOT_IN_LEDGER,
     NOT_IN_STATEMENT,
     NOT_REFUNDED,
     REFUNDS,
-    count_buckets,
-    counts,
+    numbers_of,
     result,
-    row_count,
     stack,
 )
 from tallybook.plans.result import Result
@@ -87,7 +90,7 @@ def reconcile_refunds(
     key_form=stripped,
 ) -> Result:
     led, stm = prepare(ledger, statement, refund_in_column)
-    types = led.select(as_col("TXNID").alias("L_TXNID"), "TYPE")
+    types = led.select(as_col("TXNID").alias("L_TXNID"), "TYPE", *numbers_of(led, LEDGER_ROW))
     if "TYPE" in stm.columns:
         stm = stm.drop("TYPE")
     matched = inner_match(stm, types, "TXNID", "L_TXNID", key_form)
@@ -106,20 +109,46 @@ def reconcile_refunds(
         ),
     }
     rows = stack(buckets, COLUMNS)
-    numbers = counts(
+    numbers = count_refunds(led, stm, key_form)
+    # the ledger's own row of a failed transaction, whose refund or lack of one is shown
+    pairs = matched.where(F.col("STATUS") == FAILED)
+    return replace(
+        result(rows, numbers, FAILED_PAIR), unplaced=stack({FAILED_PAIR: pairs}, COLUMNS)
+    )
+
+
+def count_refunds(led: DataFrame, stm: DataFrame, key_form=stripped) -> DataFrame:
+    """The counts, from one row per key: pairs are products of what both sides have of it."""
+    keys = stacked_sums(
+        ["key"],
         (
             led,
+            [key_form("TXNID")],
+            {"l": F.lit(1), "l_credit": one_if(lower_status("TYPE") == "credit")},
+        ),
+        (
+            stm,
+            [key_form("TXNID")],
             {
-                **row_count("ledger_count"),
-                "ledger_credit_count": lower_status("TYPE") == "credit",
+                "s": F.lit(1),
+                "s_failed": one_if(is_failed()),
+                "s_open": one_if(F.coalesce(F.col("STATUS") != FAILED, F.lit(True))),
             },
         ),
-        (stm, {**row_count("statement_count"), "failed_trans_count": is_failed()}),
-        # counted before failed rows are taken out of the matching bucket
-        (matched, row_count("matched_trans_count")),
-        total=count_buckets(rows, {"matching_trans_count": [MATCHING]}),
     )
-    return result(rows, numbers)
+    known = F.col("key").isNotNull()
+    return totals(
+        keys,
+        {
+            "ledger_count": F.col("l"),
+            "ledger_credit_count": F.col("l_credit"),
+            "statement_count": F.col("s"),
+            "failed_trans_count": F.col("s_failed"),
+            # also of failed transactions, which the matching bucket does not have
+            "matched_trans_count": F.when(known, product("l", "s")),
+            "matching_trans_count": F.when(known, product("l", "s_open")),
+        },
+    )
 
 
 def refund_links(failed: DataFrame, ledger_only: DataFrame) -> DataFrame:

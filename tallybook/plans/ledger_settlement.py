@@ -10,22 +10,25 @@ from pyspark.sql import functions as F
 from tallybook.functions._cols import as_col
 from tallybook.functions.numbers import amounts_equal, to_decimal
 from tallybook.functions.status import FAILED, lower_status
-from tallybook.functions.text import drop_point_zero, strip
+from tallybook.functions.text import drop_point_zero, matches, strip
 from tallybook.operators.columns import upper_headers, with_prefix
 from tallybook.operators.filters import NON_TRANSACTION, exclude_matching, split_on
 from tallybook.operators.match import opaque, own_shuffle
 from tallybook.operators.rules import UNCLASSIFIED
+from tallybook.operators.summary import one_if, product, stacked_sums, totals
 from tallybook.plans.ledger_common import (
     AMOUNT_MISMATCH,
+    LEDGER_ROW,
+    LINKED_ROW,
     MATCHED_NO_COMMISSION,
     MATCHING,
+    NON_TRANSACTION_ROW,
     NOT_IN_LEDGER,
     NOT_IN_STATEMENT,
+    STATEMENT_ROW,
     category,
-    count_buckets,
-    counts,
+    numbers_of,
     result,
-    row_count,
     stack,
 )
 from tallybook.plans.result import Result
@@ -63,6 +66,7 @@ def prepare(ledger: DataFrame, statement: DataFrame) -> tuple[DataFrame, DataFra
         "TYPE",
         to_decimal("AMOUNT").alias("AMOUNT_LEDGER"),
         "DATE",
+        *numbers_of(led, LEDGER_ROW),
     )
     stm = stm.select(
         _number("SETTLED_ID").alias("SETTLED_ID"),
@@ -70,10 +74,23 @@ def prepare(ledger: DataFrame, statement: DataFrame) -> tuple[DataFrame, DataFra
         as_col("COMMISSION").alias("COMMISSION_STATEMENT"),
         "STATUS",
         *[drop_point_zero(c).alias(c) for c in TEXT_IDS if c in stm.columns],
+        *numbers_of(stm, STATEMENT_ROW),
     )
     return led, stm
 
 
+def non_transactions(ledger: DataFrame) -> DataFrame:
+    """Ledger rows that ``prepare`` leaves out: settlements, charges and mini statements."""
+    led = upper_headers(as_text(ledger))
+    return led.where(matches(strip("TXNTYPE"), NON_TRANSACTION)).select(
+        _number("SNO").alias("SETTLED_ID"),
+        to_decimal("AMOUNT").alias("AMOUNT_LEDGER"),
+        "TYPE",
+        "DATE",
+        *numbers_of(led, LEDGER_ROW),
+    )
+
+
 def settlement_totals(statement: DataFrame) -> DataFrame:
     """Statement amount per settlement; rows without a settlement take no part."""
     return (
@@ -123,7 +140,8 @@ def mark_commission(compared: DataFrame) -> DataFrame:
 def with_commission(compared: DataFrame) -> DataFrame:
     """Settling ledger rows with the commission row that follows an agreeing one, prefixed ``C_``."""
     commission = with_prefix(
-        compared.where(is_idle()).select("SNO", "TYPE", "DATE"), "C_"
+        compared.where(is_idle()).select("SNO", "TYPE", "DATE", *numbers_of(compared, LEDGER_ROW)),
+        "C_",
     )
     follows = F.col("AGREES") & (F.col("SNO") + 1 == F.col("C_SNO"))
     return compared.where(~is_idle()).join(commission, follows, "left")
@@ -155,6 +173,57 @@ def _with_ledger(statement: DataFrame, settled: DataFrame) -> DataFrame:
         "AMOUNT_LEDGER",
         F.when(paired, F.col("C_TYPE")).otherwise(F.col("TYPE")).alias("TYPE"),
         F.when(paired, F.col("C_DATE")).otherwise(F.col("DATE")).alias("DATE"),
+        *numbers_of(settled, LEDGER_ROW),
+        *numbers_of(settled, f"C_{LEDGER_ROW}", LINKED_ROW),
+    )
+
+
+def count_settlements(led: DataFrame, stm: DataFrame, others: DataFrame) -> DataFrame:
+    """The counts, from one row per serial number.
+
+    A settlement's statement rows are matched once for each agreeing ledger row and each
+    commission row that follows it. All joins are between tables grouped by serial number.
+    """
+    open_ = F.coalesce(F.lower("STATUS") != FAILED, F.lit(True))
+    amounts = stacked_sums(
+        ["SNO", "AMOUNT_LEDGER"],
+        (
+            led,
+            [F.col("SNO"), F.col("AMOUNT_LEDGER")],
+            {"l": F.lit(1), "l_credit": one_if(lower_status("TYPE") == "credit")},
+        ),
+        (others, [F.lit(None).cast("bigint"), F.lit(None)], {"other": F.lit(1)}),
+    )
+    settled = stm.groupBy("SETTLED_ID").agg(
+        F.count("*").alias("s"),
+        F.count_if(open_).alias("s_open"),
+        F.coalesce(F.sum("AMOUNT_STATEMENT"), F.lit(0).cast("decimal(1,0)")).alias("SUM_AMOUNT"),
+    )
+    agrees = amounts_equal("SUM_AMOUNT", "AMOUNT_LEDGER") & F.col("SNO").isNotNull()
+    # a serial number is on both sides, on one of them, or missing: a full join of grouped rows
+    serials = (
+        amounts.join(settled, F.col("SNO") == F.col("SETTLED_ID"), "full")
+        .groupBy(F.coalesce("SNO", "SETTLED_ID").alias("id"))
+        .agg(
+            *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("l", "l_credit", "other")],
+            F.coalesce(F.sum(F.when(agrees, F.col("l"))), F.lit(0)).alias("agreed"),
+            *[F.coalesce(F.max(n), F.lit(0)).alias(n) for n in ("s", "s_open")],
+        )
+    )
+    idle = F.when((F.col("s") == 0) | F.col("id").isNull(), F.col("l")).otherwise(F.lit(0))
+    after = serials.where("agreed > 0").select((F.col("id") + 1).alias("next"), F.col("agreed").alias("agreed_before"), F.col("s").alias("s_before"))
+    rows = serials.withColumn("idle", idle).join(after, F.col("id") == F.col("next"), "left")
+    unknown = F.col("id").isNull() | (F.col("l") == 0)
+    return totals(
+        rows,
+        {
+            "ledger_count": F.col("l") + F.col("other"),
+            "ledger_credit_count": F.col("l_credit"),
+            "statement_count": F.col("s"),
+            "matched_trans_count": product("idle", "agreed_before", "s_before"),
+            "failed_trans_count": F.when(F.col("next").isNull(), F.col("idle")).otherwise(F.lit(0))
+            + F.when(unknown, F.col("s_open")).otherwise(F.lit(0)),
+        },
     )
 
 
@@ -171,16 +240,8 @@ def reconcile_settlement(ledger: DataFrame, statement: DataFrame) -> Result:
     )
     unplaced, placed = split_on(_with_ledger(stm, with_commission(compared)), F.col("UNPLACED"))
     rows = stack({}, COLUMNS, [placed, ledger_side])
-    numbers = counts(
-        (ledger, row_count("ledger_count")),
-        (statement, row_count("statement_count")),
-        (led, {"ledger_credit_count": lower_status("TYPE") == "credit"}),
-        total=count_buckets(
-            rows,
-            {
-                "matched_trans_count": [MATCHING],
-                "failed_trans_count": [NOT_IN_LEDGER, NOT_IN_STATEMENT],
-            },
-        ),
+    others = {NON_TRANSACTION_ROW: non_transactions(ledger)}
+    numbers = count_settlements(led, stm, others[NON_TRANSACTION_ROW])
+    return replace(
+        result(rows, numbers, NON_TRANSACTION_ROW), unplaced=stack(others, COLUMNS, [unplaced])
     )
-    return replace(result(rows, numbers), unplaced=stack({}, COLUMNS, [unplaced]))

@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.operators.columns import union_aligned
 from tallybook.operators.summary import bucket_sizes
 
 
@@ -17,7 +18,8 @@ class Result:
     """Rows in one frame, told apart by ``CATEGORY``, and ``(metric, value)`` counts. Both lazy.
 
     ``days``: the comparison of daily totals, of plans that make one. ``unplaced``: input rows
-    that no bucket holds, with a ``CATEGORY``, of plans that have such rows.
+    that no bucket holds, with a ``CATEGORY``, of plans that have such rows. ``rejects``: rows with
+    values that cannot be read and lines that do not fit, as ``(SIDE, REASON, RECORD)``.
     """
 
     buckets: DataFrame
@@ -25,13 +27,18 @@ class Result:
     settled: Sequence[str] = ()
     days: DataFrame | None = None
     unplaced: DataFrame | None = None
+    rejects: DataFrame | None = None
 
     def bucket(self, category: str) -> DataFrame:
         return self.buckets.where(F.col("CATEGORY") == category)
 
+    def rows(self) -> DataFrame:
+        """Buckets and unplaced rows: every input row is in it."""
+        return self.buckets if self.unplaced is None else union_aligned(self.buckets, self.unplaced)
+
     def combined(self) -> DataFrame:
-        """The exception report: every bucket but the settled ones."""
-        return self.buckets.where(~F.col("CATEGORY").isin(*self.settled))
+        """The exception report: every row but those of the settled buckets."""
+        return self.rows().where(~F.col("CATEGORY").isin(*self.settled))
 
     def sizes(self) -> DataFrame:
         return bucket_sizes(self.buckets)

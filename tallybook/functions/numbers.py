@@ -48,9 +48,16 @@ def whole_number_text(c: ColumnOrName) -> Column:
     as text, so that no digit is lost; only exponent forms are computed, up to 38 digits.
     """
     text = strip(c)
-    digits = F.regexp_extract(text, r"^[+-]?0*(\d*)", 1)
+    # without patterns: Spark writes this expression out in each filter, join key and output that uses it
+    signed = F.left(text, F.lit(1)).isin("+", "-")
+    body = F.when(signed, F.substring(text, 2, 1 << 30)).otherwise(text)
+    head = F.substring_index(body, ".", 1)
+    digits = F.translate(body, ".", "")
+    point = F.length(body) - F.length(digits)
+    plain = (digits != "") & (F.translate(digits, "0123456789", "") == "") & (point <= 1)
+    units = F.ltrim(head, F.lit("0"))
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    cut = F.when(digits == "", F.lit("0")).otherwise(F.concat(sign, digits))
+    cut = F.when(units == "", F.lit("0")).otherwise(F.concat(sign, units))
     value = text.try_cast("decimal(38,18)")
     computed = F.coalesce(
         F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)).cast("string"),
@@ -58,7 +65,7 @@ def whole_number_text(c: ColumnOrName) -> Column:
     )
     return (
         F.when(text.isNull() | (F.lower(text) == "nan"), F.lit(""))
-        .when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), cut)
+        .when(plain, cut)
         .otherwise(F.coalesce(computed, text))
     )
 

@@ -38,6 +38,9 @@ SERVICE = "UPIQR"
 BANK_REF_NOT_UPDATED = "BANK_REF_NOT_UPDATED"
 # Not part of the fixed values: payments that give way to another one of the same bank reference.
 SHARED_BANK_REF = "SHARED_BANK_REF"
+# Payments without an own id that give way or cannot be told apart, and payments that the vendor knows by
+# our own id under another bank reference.
+GAVE_WAY, OWN_ID_ONLY = "GAVE_WAY", "OWN_ID_ONLY"
 _OWN = "__own"
 
 # Result columns, in order.
@@ -208,6 +211,31 @@ def qr_buckets(enriched: DataFrame, hub: DataFrame, vendor: DataFrame) -> DataFr
     )
 
 
+def found_by_own_id_only(enriched: DataFrame, vendor: DataFrame) -> DataFrame:
+    """Payments with their vendor rows, where the own ids agree and the vendor lacks the bank's reference."""
+    other = enriched.where(
+        F.col("REFERENCE_NO").isNotNull() & ~reference_not_updated("VENDOR_REFERENCE", "REFERENCE_NO")
+    )
+    unmatched = missing_from(other, vendor, "VENDOR_REFERENCE", "REFID", exact)
+    return inner_match(unmatched, vendor, "REFERENCE_NO", "Unique_ID", exact)
+
+
+def unplaced_payments(enriched: DataFrame, hub: DataFrame, vendor: DataFrame) -> DataFrame:
+    """Payments that ``qr_buckets`` has no row for.
+
+    A difference of multisets, which needs no row numbers: of equal payments, as many are left as are
+    neither in ``enriched`` nor listed as sharing a bank reference.
+    """
+    shown = enriched.select(hub.columns).unionByName(shared_bank_ref(hub, enriched).select(hub.columns))
+    parts = (
+        tagged(hub.exceptAll(shown), GAVE_WAY),
+        tagged(found_by_own_id_only(enriched, vendor), OWN_ID_ONLY),
+    )
+    return select_existing(
+        union_aligned(*[select_existing(p, RESULT_COLUMNS) for p in parts]), RESULT_COLUMNS
+    )
+
+
 def qr_counts(enriched: DataFrame, vendor: DataFrame) -> DataFrame:
     """Counts compare the bank's own remark, not the hub status, with the vendor status."""
     own, theirs = F.lower("UPIQR_STATUS"), F.lower("VENDOR_STATUS")
@@ -245,4 +273,5 @@ def reconcile_qr(
         buckets=qr_buckets(enriched, hub, vendor),
         counts=qr_counts(enriched, vendor),
         settled=SETTLED,
+        unplaced=unplaced_payments(enriched, hub, vendor),
     )

@@ -318,30 +318,32 @@ REQUEST_NAMES = """EBO_ID, USERNAME, VLE_ID, SERVICE_CODE, APPLICATION_COUNT, RA
 
 def district_sql(key: str, service: str, first: bool) -> str:
     """CTEs ``win`` (one row per key inside the window) and ``hist`` (newest rows of any date)."""
-    pick = (
-        f"""JOIN (SELECT min(id) AS pid FROM district_requests WHERE {service}
-    AND CAST(CreationTs AS DATE) {DAYS} GROUP BY {key}) p ON p.pid = r.id"""
-        if first
-        else f"""JOIN (SELECT {key} AS pk, max(CreationTs) AS pts FROM district_requests WHERE {service}
-    AND CAST(CreationTs AS DATE) {DAYS} GROUP BY {key}) p ON p.pk = r.{key} AND p.pts = r.CreationTs"""
-    )
+    within = f"{service} AND CAST(CreationTs AS DATE) {DAYS}"
+
+    def chosen(place: str, rows: str) -> str:
+        return f"""(SELECT * FROM (SELECT *, {place} AS place FROM district_requests WHERE {rows}) t WHERE place = 1) r"""
+
+    earliest = chosen(f"row_number() OVER (PARTITION BY {key} ORDER BY id)", within)
+    newest = f"rank() OVER (PARTITION BY {key} ORDER BY CreationTs DESC)"
+    dated = f"{key} IS NOT NULL AND CreationTs IS NOT NULL"
     shown = f"r.{key} AS ref, u.UserName AS EBO_ID, a.Name AS USERNAME, {DISTRICT_COLUMNS}"
-    return f"""win AS (SELECT {shown} FROM district_requests r {pick} {DISTRICT_JOINS} WHERE r.{service}),
-hist AS (SELECT {shown} FROM district_requests r
-  JOIN (SELECT {key} AS pk, max(CreationTs) AS pts FROM district_requests WHERE {service} GROUP BY {key}) p
-    ON p.pk = r.{key} AND p.pts = r.CreationTs {DISTRICT_JOINS} WHERE r.{service})"""
+    inside = earliest if first else chosen(newest, f"{within} AND {dated}")
+    return f"""win AS (SELECT {shown} FROM {inside} {DISTRICT_JOINS}),
+hist AS (SELECT {shown} FROM {chosen(newest, f"{service} AND {dated}")} {DISTRICT_JOINS})"""
 
 
 def portal_sql(key: str, service: str) -> str:
+    """As ``district_sql``, with the row of the highest id in and out of the window."""
     shown = f"""r.{key} AS ref, u.apna_id AS EBO_ID, u.f_name AS USERNAME, c.vle_id AS VLE_ID,
   r.service_code AS SERVICE_CODE, r.req_app_count AS APPLICATION_COUNT, r.rate AS RATE,
   r.total_amt AS TOTAL_AMOUNT, CAST(r.created_at AS DATE) AS SERVICE_DATE"""
-    joins = """LEFT JOIN portal_users u ON u.id = r.users_id
-  LEFT JOIN portal_centres c ON c.users_id = r.users_id"""
-    return f"""win AS (SELECT {shown} FROM portal_requests r JOIN (SELECT max(id) AS pid FROM portal_requests
-    WHERE {service} AND CAST(created_at AS DATE) {DAYS} GROUP BY {key}) p ON p.pid = r.id {joins}),
-hist AS (SELECT {shown} FROM portal_requests r JOIN (SELECT max(id) AS pid FROM portal_requests
-    WHERE {service} GROUP BY {key}) p ON p.pid = r.id {joins})"""
+
+    def last(rows: str) -> str:
+        return f"""SELECT {shown} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY id DESC) AS place
+  FROM portal_requests WHERE {rows}) r LEFT JOIN portal_users u ON u.id = r.users_id
+  LEFT JOIN portal_centres c ON c.users_id = r.users_id WHERE place = 1"""
+
+    return f"win AS ({last(f'{service} AND CAST(created_at AS DATE) {DAYS}')}), hist AS ({last(service)})"
 
 
 def topup_sql() -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.catalog.ledgers import (
+    ATM_ROWS,
     ATM_SQL,
     ATM_VIEWS,
     BANK_SQL,
@@ -251,6 +252,54 @@ def csv_refund_reconcile(s: Source) -> DataFrame:
     return rows.select("CATEGORY", "TXNID", "STATUS")
 
 
+# -------------------------------------------------------- exception reports
+
+
+def exceptions_of(s: Source, service: str, ledger: str, statement: str) -> DataFrame:
+    """Sizes of the exception report's buckets, and whether there is any exception."""
+    found = reconcile_ledger(service, s[ledger], s[statement])
+    flag = [("HAS_EXCEPTIONS", int(found.has_exceptions()))]
+    sizes = found.combined().groupBy("CATEGORY").agg(F.count("*").alias("n"))
+    return sizes.unionByName(s.spark.createDataFrame(flag, "CATEGORY string, n long"))
+
+
+def exceptions_sql(steps: str, rows: str) -> str:
+    return f"""WITH {steps}, found AS ({rows})
+SELECT CATEGORY, count(*) AS n FROM found GROUP BY CATEGORY
+UNION ALL SELECT 'HAS_EXCEPTIONS', CASE WHEN EXISTS (SELECT 1 FROM found) THEN 1 ELSE 0 END"""
+
+
+@query(
+    "amount_exceptions",
+    *ATM_VIEWS,
+    sql=exceptions_sql(
+        ATM_SQL,
+        f"""SELECT CATEGORY FROM ({ATM_ROWS}) r WHERE CATEGORY <> 'matching_trans'
+UNION ALL SELECT 'UNCLASSIFIED' FROM atm_statement WHERE RRN IS NULL OR trim(RRN) = ''""",
+    ),
+)
+def amount_exceptions(s: Source) -> DataFrame:
+    return exceptions_of(s, "MATM", "atm_ledger", "atm_statement")
+
+
+@query(
+    "settlement_exceptions",
+    *SETTLED_VIEWS,
+    sql=exceptions_sql(
+        SETTLED_SQL,
+        f"""SELECT 'amount_mismatch' AS CATEGORY FROM compared WHERE total <> AMOUNT
+UNION ALL SELECT 'amount_mismatch' FROM stm WHERE SETTLED_ID IN (SELECT SETTLED_ID FROM compared WHERE total <> AMOUNT)
+UNION ALL SELECT 'MATCHED_NO_COMMISSION' FROM detail WHERE SNO + 1 NOT IN (SELECT SNO FROM commission)
+UNION ALL SELECT 'not_in_statement' FROM idle WHERE SNO NOT IN (SELECT SNO FROM commission)
+UNION ALL SELECT CASE WHEN lower(STATUS) = 'failed' THEN 'UNCLASSIFIED' ELSE 'not_in_ledger' END FROM stm
+WHERE SETTLED_ID IS NULL OR SETTLED_ID NOT IN (SELECT SNO FROM led)""",
+    ),
+)
+def settlement_exceptions(s: Source) -> DataFrame:
+    """A settlement that is off shows all its statement rows."""
+    return exceptions_of(s, "AEPS", "settlement_ledger", "settled_statement")
+
+
 # ------------------------------------------------------------ row balances
 
 

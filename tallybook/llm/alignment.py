@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -28,13 +30,17 @@ from pyspark.sql.types import StructField, StructType
 from tokenizers import Tokenizer
 
 from tallybook.errors import TallyError
-from tallybook.llm.shared import Pieces, ShortPieces, fresh, saved
+from tallybook.llm.shared import Pieces, fresh, saved
 from tallybook.llm.tokenizing import Encoder
 
 #: Rows are handed on when they hold so many links.
 CHUNK = 1 << 20
-#: Texts of groups of more bytes of ids are not remembered.
-GROUP_BYTES = 256
+#: Remembered texts of groups that are not one token on both sides, and the longest that are remembered.
+GROUPS, GROUP_TEXT = 100_000, 120
+#: Remembered units of text of a tokenizer in a worker process, some 90 MB. When full, it starts anew.
+UNITS = 300_000
+#: Longer units of text are encoded each time.
+LONGEST = 64
 #: Tokens compared in the first probe of a stretch.
 FIRST_PROBE = 16
 #: Pairs that may be broadcast: 12 bytes each.
@@ -42,20 +48,110 @@ MOST_PAIRS = 1 << 24
 # Bytes that byte-level vocabularies write as themselves; the others, in order, are written from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-_UNIT = re.compile(" +[^ ]*")
-_GOES_ON = re.compile("[^▁]▁")
+#: Both tokenizers cut rows of such units between them: the byte-level one by its pattern, the other where no piece goes on.
+_WORD = re.compile(" [A-Za-zÀ-ÖØ-öø-ÿ]{1,64}")
+#: Characters that may stand apart from letters and digits in a vocabulary.
+_MARKS = string.punctuation + "\t\n\r"
+
+
+#: Texts that both kinds of tokenizers cut alike.
+_SIMPLE = re.compile(f"[A-Za-zÀ-ÖØ-öø-ÿ0-9 {re.escape(_MARKS.replace(chr(39), ''))}]*")
+_SPACES = re.compile(r"\s\s")
 
 
-@dataclass(frozen=True)
 class Side:
-    """One tokenizer: ``encode`` gives ids of a text, ``pieces`` the bytes of every id."""
+    """One tokenizer: ``pieces`` has the bytes of every id.
+
+    ``units`` cuts a text, with a space in front, into parts that the tokenizer encodes each for
+    itself, and ``compute`` encodes a list of such parts. Parts repeat, so their ids are remembered.
+    """
 
-    encode: Callable[[str], np.ndarray]
-    pieces: list[bytes]
+    #: Whether a byte-level pattern keeps letters, digits and other characters apart.
+    splits_classes = False
+    #: The pattern of units, of a vocabulary that has one.
+    unit: re.Pattern | None = None
+
+    def __init__(
+        self,
+        pieces: list[bytes],
+        units: Callable[[str], list[str]],
+        compute: Callable[[list[str]], list[list[int]]],
+    ) -> None:
+        self.pieces, self._units, self._compute = pieces, units, compute
+        self.lengths = np.array([len(p) for p in pieces], np.int32)
+        self._known: dict[str, bytes | None] = {}
+
+    def ids_of(self, units: list[str]) -> dict[str, bytes | None]:
+        """Ids of units, None for one that they do not spell.
+
+        Words with a space in front stay units in a row of them, which is encoded faster than each alone.
+        """
+        found: dict[str, bytes | None] = {}
+        words = list(filter(_WORD.fullmatch, units))
+        row = self._compute(["".join(words)])[0] if words else []
+        ids = np.array(row, np.int32)
+        ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum([len(u.encode()) for u in words])
+        cuts = np.searchsorted(ends, wanted)
+        whole = b"".join(map(self.pieces.__getitem__, row)) == "".join(words).encode()
+        if words and whole and (ends[cuts] == wanted).all():
+            cuts, flat = (cuts + 1) * ids.itemsize, ids.tobytes()
+            starts = [0, *cuts[:-1].tolist()]
+            found.update(zip(words, [flat[i:j] for i, j in zip(starts, cuts.tolist())]))
+            units = [u for u in units if u not in found]
+        for unit, row in zip(units, self._compute(units) if units else [], strict=True):
+            spelled = b"".join(map(self.pieces.__getitem__, row)) == unit.encode()
+            found[unit] = array("i", row).tobytes() if spelled else None
+        return found
+
+    def encode(self, text: str) -> np.ndarray | None:
+        """Ids of a text; None if their bytes are not those of the text with a space in front."""
+        units, known = self._units(text), self._known
+        new = list(set(units).difference(known))
+        if new:
+            if len(known) + len(new) > UNITS:
+                known.clear()
+                new = list(set(units))
+            known.update(self.ids_of(new))
+        found = list(map(known.__getitem__, units))
+        for unit in new:
+            if len(unit) > LONGEST:
+                del known[unit]
+        return None if None in found else np.frombuffer(b"".join(found), np.int32)
+
+
+class Sides:
+    """Two tokenizers; texts that both cut in the same places are looked up once for both.
+
+    These are texts of letters, digits and marks without apostrophes and without two white spaces in a row,
+    for a byte-level pattern on the left and a sentencepiece vocabulary with a ``unit`` pattern on the right: the
+    left one has a cut wherever the right one has. Any other text is encoded by each side for itself.
+    """
 
-    @property
-    def lengths(self) -> np.ndarray:
-        return np.array([len(p) for p in self.pieces], np.int32)
+    def __init__(self, left: Side, right: Side) -> None:
+        self.left, self.right = left, right
+        self._unit = right.unit if left.splits_classes else None
+        self._known: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of both sides; None if one of them does not spell the text."""
+        if self._unit is None or not _SIMPLE.fullmatch(text) or _SPACES.search(" " + text):
+            a, b = self.left.encode(text), self.right.encode(text)
+            return None if a is None or b is None else (a, b)
+        units, known = self._unit.findall(" " + text), self._known
+        new = list(set(units).difference(known))
+        if new:
+            if len(known) + len(new) > UNITS:
+                known.clear()
+                new = list(set(units))
+            a, b = self.left.ids_of(new), self.right.ids_of(new)
+            known.update((u, None if a[u] is None or b[u] is None else (a[u], b[u])) for u in new)
+        found = list(map(known.__getitem__, units))
+        for unit in new:
+            if len(unit) > LONGEST:
+                del known[unit]
+        if None in found:
+            return None
+        return tuple(np.frombuffer(b"".join(side), np.int32) for side in zip(*found))
 
 
 def byte_level_pieces(tokenizer: Tokenizer) -> list[bytes]:
@@ -77,38 +173,64 @@ def byte_level_side(path: str) -> Side:
     encoder = Encoder(path)
     encoder.tokenizer.encode_special_tokens = True
 
-    def encode(text: str) -> np.ndarray:
-        return np.frombuffer(encoder.ids(" " + text), encoder.width).astype(np.int32)
+    def compute(units: list[str]) -> list[list[int]]:
+        # one by one: a batch would start threads
+        return [encoder.tokenizer.encode(u, add_special_tokens=False).ids for u in units]
+
+    def units(text: str) -> list[str]:
+        return encoder.pieces(" " + text) or [" " + text]
+
+    side = Side(byte_level_pieces(encoder.tokenizer), units, compute)
+    side.splits_classes = encoder.kind == "byte"
+    return side
+
+
+def unit_pattern(pieces: list[str]) -> re.Pattern | None:
+    """Cuts a text where no piece of a sentencepiece vocabulary goes on; None if there are no such places.
 
-    return Side(encode, byte_level_pieces(encoder.tokenizer))
+    Spaces go with what follows them, and marks are apart from other characters. What
+    stands beside a mark in a piece is a mark too.
+    """
+    marks, before = set(_MARKS), set()
+    while marks != before:
+        before = set(marks)
+        for piece in pieces:
+            if before & set(piece):
+                marks |= set(piece) - {"▁"}
+    if any(c.isalpha() for c in marks) or "\n" in "".join(pieces) or any(re.search("[^▁]▁", p) for p in pieces):
+        return None
+    one = "".join(map(re.escape, sorted(marks)))
+    return re.compile(f" *(?:[^{one} ]+|[{one}]+)| +")
 
 
 def sentence_side(path: str) -> Side:
     """A sentencepiece model with byte pieces that puts the space in front itself."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
+    named = [model.id_to_piece(i) for i in range(model.get_piece_size())]
     pieces = [
-        bytes([int(model.id_to_piece(i)[3:-1], 16)])
-        if model.is_byte(i)
-        else model.id_to_piece(i).replace("▁", " ").encode()
-        for i in range(model.get_piece_size())
+        bytes([int(name[3:-1], 16)]) if model.is_byte(i) else name.replace("▁", " ").encode()
+        for i, name in enumerate(named)
     ]
+    space, line = model.piece_to_id("▁"), len(model.encode("\n"))
+    unit = unit_pattern(
+        [n for i, n in enumerate(named) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
+    )
+    if space == model.unk_id():
+        unit = None
 
-    space = model.piece_to_id("▁")
-
-    def ids_of(unit: str) -> bytes:
-        # the model puts no space in front of nothing
-        ids = [space] if unit == " " else model.encode(unit[1:])
-        return np.array(ids, np.int32).tobytes()
-
-    # no piece has a space behind another character, so what lies between such places is encoded for itself
-    apart = space != model.unk_id() and not any(_GOES_ON.search(model.id_to_piece(i)) for i in range(len(pieces)))
-    units = ShortPieces(ids_of)
-
-    def encode(text: str) -> np.ndarray:
-        found = _UNIT.findall(" " + text) if apart else [" " + text]
-        return np.frombuffer(b"".join(map(units.__getitem__, found)), np.int32)
+    def compute(units: list[str]) -> list[list[int]]:
+        # the model's own space is taken where there is one, else cut off with a line end that no piece has
+        spaced = [u.startswith(" ") for u in units]
+        found = [model.encode(u[1:] if s else f"\n{u}") for u, s in zip(units, spaced)]
+        # it puts no space in front of nothing
+        return [
+            [space] if u == " " else ids if s else ids[line:]
+            for u, s, ids in zip(units, spaced, found, strict=True)
+        ]
 
-    return Side(encode, pieces)
+    side = Side(pieces, lambda text: unit.findall(" " + text) if unit else [" " + text], compute)
+    side.unit = unit
+    return side
 
 
 @lru_cache(maxsize=4)
@@ -117,6 +239,11 @@ def _side(path: str) -> Side:
     return sentence_side(path) if path.endswith(".model") else byte_level_side(path)
 
 
+@lru_cache(maxsize=2)
+def _sides(left: str, right: str) -> Sides:
+    return Sides(_side(left), _side(right))
+
+
 def shared_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions in ``a`` and in ``b`` of the values that both rising arrays hold.
 
@@ -191,35 +318,44 @@ class Alignment:
         cuts = (size * np.stack([i[uneven], i[uneven + 1], j[uneven], j[uneven + 1]])).T.tolist()
         for g, (p, q, r, s) in zip(uneven.tolist(), cuts, strict=True):
             ids = a[p:q], b[r:s]
-            out[g] = _group[ids] if q - p + s - r <= GROUP_BYTES else _group_text(ids)
-        return hashlib.sha256(";".join(out).encode()).hexdigest()
+            out[g] = _uneven.get(ids) or _remember(ids)
+        return hashlib.sha256(b";".join(out)).hexdigest()
 
 
-def _group_text(ids: tuple[bytes, bytes]) -> str:
+def _group_text(ids: tuple[bytes, bytes]) -> bytes:
     a, b = (",".join(map(str, np.frombuffer(side, np.int32).tolist())) for side in ids)
-    return f"{a}|{b}"
+    return f"{a}|{b}".encode()
 
 
 #: a << 32 | b -> "a|b"
-_pair = Pieces(lambda code: f"{code >> 32}|{code & 0xFFFFFFFF}")
+_pair = Pieces(lambda code: b"%d|%d" % (code >> 32, code & 0xFFFFFFFF))
 #: ids of a group on both sides -> "a1,a2|b1"
-_group = Pieces(_group_text)
+_uneven: dict[tuple[bytes, bytes], bytes] = {}
+
+
+def _remember(ids: tuple[bytes, bytes]) -> bytes:
+    text = _group_text(ids)
+    if len(text) <= GROUP_TEXT:
+        if len(_uneven) >= GROUPS:
+            _uneven.clear()
+        _uneven[ids] = text
+    return text
 
 
 _NO_IDS, _NO_ENDS = np.zeros(0, np.int32), np.zeros(0, np.int64)
 NOTHING = Alignment(_NO_IDS, _NO_IDS, _NO_ENDS, _NO_ENDS)
 
 
-def align(text: str | None, left: Side, right: Side) -> Alignment:
+def align(text: str | None, sides: Sides) -> Alignment:
     """The groups of a text; ``NOTHING`` if it is null or empty, or if a side does not spell it."""
     if not text:
         return NOTHING
-    raw, a, b = (" " + text).encode(), left.encode(text), right.encode(text)
-    for side, ids in ((left, a), (right, b)):
-        if b"".join(map(side.pieces.__getitem__, ids.tolist())) != raw:
-            return NOTHING
-    kind = np.int32 if len(raw) < 1 << 31 else np.int64
-    ends = (np.cumsum(side.lengths[ids], dtype=kind) for side, ids in ((left, a), (right, b)))
+    found = sides.encode(text)
+    if found is None:
+        return NOTHING
+    a, b = found
+    kind = np.int32 if len(text) < 1 << 28 else np.int64
+    ends = (np.cumsum(side.lengths[ids], dtype=kind) for side, ids in ((sides.left, a), (sides.right, b)))
     return Alignment(a, b, *shared_ends(*ends))
 
 
@@ -261,11 +397,11 @@ def align_tokens(
         return pa.RecordBatch.from_arrays(arrays, schema.names)
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_side, b_side = _side(left), _side(right)
+        sides = _sides(left, right)
         for batch in batches:
             begin, held, found, links = 0, 0, [], []
             for row in range(batch.num_rows):
-                x = align(batch.column(1)[row].as_py(), a_side, b_side)
+                x = align(batch.column(1)[row].as_py(), sides)
                 codes = x.a[x.last_a].astype(np.int64) * size + x.b[x.last_b]
                 found.append((len(x.a), len(x.b), len(x.last_a), x.digest()))
                 links.append(codes)

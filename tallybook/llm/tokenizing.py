@@ -41,7 +41,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        kind = _kind(self.tokenizer)
+        kind = self.kind = _kind(self.tokenizer)
         self._find = re.compile(_PATTERNS[kind]).findall if kind else None
         self._lower = kind == "word"
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -58,6 +58,14 @@ class Encoder:
             return None
         return self._find(text.lower() if self._lower else text)
 
+    def pieces(self, text: str) -> list[str] | None:
+        """Parts of a text that are encoded each for itself, special strings as any other text.
+
+        None if it is not known where the tokenizer cuts this text.
+        """
+        known = self._find is not None and _CUTTABLE.fullmatch(text)
+        return self._find(text.lower() if self._lower else text) if known else None
+
     def count(self, text: str | None) -> int:
         pieces = self._pieces(text or "")
         if pieces is None:

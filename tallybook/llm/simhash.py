@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tallybook.llm.components import components
 from tallybook.llm.near_copies import near_copies
 from tallybook.llm.shared import fresh, saved
+from tallybook.operators.match import own_shuffle
 
 RADIUS = 3
 SHINGLE = 3
@@ -255,6 +256,29 @@ def components_of(rows: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return rows.join(placed.join(lowest, "root").select("fp", "component"), "fp")
 
 
+def keep_first_of_groups(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``df`` with one row of each group that links of fingerprints connect: that with the least key.
+
+    Fingerprints, radius and shingle length are those of ``near_duplicates``. Null and empty texts are
+    one group. Rows without a key stay only if their whole group has none; of several rows with the
+    least key, the first stored stays. An empty table stays empty; columns may have any names.
+    """
+    order, fp = fresh(df.columns, "order"), fresh(df.columns, "fp")
+    # numbered once and written, so that a number always means the same row
+    kept = saved(fingerprints(df, text, fp).withColumn(order, F.monotonically_increasing_id()), "numbered")
+    ids = kept.select(
+        F.col(fp).alias("fp"),
+        F.struct(
+            F.col(f"`{key}`").isNull().alias("none"),
+            F.col(f"`{key}`").alias("key"),
+            F.col(order).alias("order"),
+        ).alias("id"),
+    )
+    first = components_of(ids).select(F.col("component.order").alias(order)).distinct()
+    first = own_shuffle(first, order)
+    return kept.join(first, order, "left_semi").select(*(f"`{c}`" for c in df.columns))
+
+
 def drop_near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``df`` with one row of each component of ``near_copies``: that with the least key.
 

@@ -15,7 +15,7 @@ from tallybook.llm.language_id import keep_known_languages
 from tallybook.llm.packing import pack_texts
 from tallybook.llm.quality_rules import keep_good
 from tallybook.llm.shared import saved
-from tallybook.llm.simhash import drop_near_duplicates
+from tallybook.llm.simhash import keep_first_of_groups
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -31,8 +31,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the least doc_id."""
-    return drop_near_duplicates(docs)
+    """One document of each group that SimHash links stays, the one with the least doc_id."""
+    return keep_first_of_groups(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,14 +19,16 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.components import components
 from tallybook.llm.shared import Pieces, saved
+from tallybook.operators.match import own_shuffle
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, BAND = 24, 5
-_CHUNK = 2048
+_CHUNK = 512
 _RANDOM = np.random.default_rng(42)
-_FLIP = _RANDOM.integers(0, 1 << 64, (BANDS * BAND, 1), np.uint64)
-_FACTOR = _RANDOM.integers(0, 1 << 63, (BANDS * BAND, 1), np.uint64) * np.uint64(2) + np.uint64(1)
+# products of 32 bits: processors form eight at once, of 64 bits one by one
+_FLIP = _RANDOM.integers(0, 1 << 32, (BANDS * BAND, 1), np.uint32)
+_FACTOR = _RANDOM.integers(0, 1 << 31, (BANDS * BAND, 1), np.uint32) * np.uint32(2) + np.uint32(1)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 _hashes = Pieces(xxhash.xxh64_intdigest)
@@ -60,10 +62,11 @@ def shingles(text: str | None) -> np.ndarray:
 
 def bands(own: np.ndarray) -> np.ndarray:
     """A key for each band of min-wise hashes of a set that is not empty."""
-    least = np.full(BANDS * BAND, (1 << 64) - 1, np.uint64)
-    for i in range(0, len(own), _CHUNK):
-        least = np.minimum(least, ((own[None, i : i + _CHUNK] ^ _FLIP) * _FACTOR).min(1))
-    by_band = least.reshape(BANDS, BAND)
+    short = (own >> np.uint64(32)).astype(np.uint32)
+    least = np.full(BANDS * BAND, (1 << 32) - 1, np.uint32)
+    for i in range(0, len(short), _CHUNK):
+        least = np.minimum(least, ((short[None, i : i + _CHUNK] ^ _FLIP) * _FACTOR).min(1))
+    by_band = least.reshape(BANDS, BAND).astype(np.uint64)
     return _chain([np.arange(BANDS, dtype=np.uint64), *by_band.T]).view(np.int64)
 
 
@@ -72,7 +75,10 @@ def similar(shared, a, b):
     return shared >= SIMILARITY * (a + b - shared) - 1e-9
 
 
-def _marks(texts: pd.Series) -> pd.DataFrame:
+MARKS = "shingles binary, bands array<bigint>"
+
+
+def marks_of(texts: pd.Series) -> pd.DataFrame:
     sets = [shingles(t) for t in texts]
     return pd.DataFrame(
         {
@@ -146,11 +152,16 @@ def near_copies(rows: DataFrame) -> DataFrame:
     of a bucket are first compared with its least; only buckets whose members are
     not all connected then are compared throughout, each by one task.
     """
-    marks = F.pandas_udf(_marks, "shingles binary, bands array<bigint>")
+    marks = F.pandas_udf(marks_of, MARKS)
     marked = saved(
         rows.select("node", marks("text").alias("m")).select("node", "m.shingles", "m.bands"),
         "signatures",
     )
+    return linked(marked, rows)
+
+
+def linked(marked: DataFrame, rows: DataFrame) -> DataFrame:
+    """``near_copies`` of ``rows`` whose marks (node, shingles, bands) are known; both are read several times."""
     least = saved(
         marked.groupBy("shingles")
         .agg(F.min(F.struct("node", "bands")).alias("m"))
@@ -160,7 +171,8 @@ def near_copies(rows: DataFrame) -> DataFrame:
     buckets = least.select(F.col("least").alias("node"), F.explode("bands").alias("band"))
     heads = buckets.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n"))
     # buckets with one member are of no use
-    buckets = saved(buckets.join(heads.where("n > 1").drop("n"), "band"), "buckets")
+    shared = own_shuffle(heads.where("n > 1").drop("n"), "band")
+    buckets = saved(buckets.join(shared, "band"), "buckets")
     candidates = buckets.select("node").distinct()
     sets = saved(
         rows.join(candidates, "node", "left_semi").select(
@@ -183,7 +195,7 @@ def near_copies(rows: DataFrame) -> DataFrame:
         "placed",
     )
     mixed = placed.groupBy("band").agg(F.min("root").alias("m"), F.max("root").alias("n"))
-    mixed = placed.join(mixed.where("m <> n").select("band"), "band", "left_semi")
+    mixed = placed.join(own_shuffle(mixed.where("m <> n").select("band"), "band"), "band", "left_semi")
     more = saved(
         mixed.join(sets, "node")
         .select("band", "node", "root", "own")

@@ -17,9 +17,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.near_copies import near_copies
-from tallybook.llm.shared import WORD_SPACE, new_folder, saved
-from tallybook.llm.token_counts import count_tokens
+from tallybook.llm.near_copies import MARKS, linked, marks_of
+from tallybook.llm.shared import WORD_SPACE, saved
+from tallybook.llm.tokenizing import encoder
 
 #: Length of a training sequence in tokens.
 CAPACITY = 2048
@@ -181,7 +181,7 @@ def pack_texts(
     """(key, piece, bin_id, start, length): where each text of ``df`` goes.
 
     Lengths are in tokens of the file ``tokenizer``, that of the token files by default, one more
-    for the end id; different texts are encoded once. A cluster is a component of
+    for the end id. A cluster is a component of
     ``near_copies``; texts without words have none. Every row is placed, null and empty
     texts with length 1, repeated rows each for itself; an empty table gives no rows.
     """
@@ -196,17 +196,26 @@ def pack_texts(
         "numbered",
     )
     path = tokenizer or public_tokenizers.path(TOKENIZER)
-    cache = new_folder(df.sparkSession, "token-cache")
-    sizes = count_tokens(numbered, path, cache, "text", "row").select(
-        F.col("id").alias("row"), (F.col("n_tokens") + 1).alias("size")
+
+    def marks(texts: pd.Series) -> pd.DataFrame:
+        count = encoder(path).count
+        return marks_of(texts).assign(size=[count(t) + 1 for t in texts])
+
+    # one pass over the texts; what follows reads numbers only, and the texts of candidates
+    marked = saved(
+        numbered.select(
+            "id",
+            "source",
+            F.col("row").alias("node"),
+            has_words("text").alias("words"),
+            F.pandas_udf(marks, f"{MARKS}, size long")("text").alias("m"),
+        ).select("id", "source", "node", "words", "m.*"),
+        "marks",
     )
-    clusters = near_copies(numbered.select(F.col("row").alias("node"), "text")).select(
-        F.col("node").alias("row"), "root"
+    roots = linked(
+        marked.select("node", "shingles", "bands"), numbered.select(F.col("row").alias("node"), "text")
     )
-    rows = (
-        numbered.select("id", "source", "row", has_words("text").alias("words"))
-        .join(sizes, "row")
-        .join(clusters, "row")
-        .withColumn("cluster", F.when(F.col("words"), F.col("root")))
+    rows = marked.join(roots, "node").select(
+        "id", "source", F.col("node").alias("row"), "size", F.when(F.col("words"), F.col("root")).alias("cluster")
     )
     return pack_rows(rows, capacity, group).withColumnRenamed("id", key)

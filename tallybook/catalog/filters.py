@@ -272,12 +272,9 @@ def constant_split(s: Source) -> DataFrame:
     _, clean, refunded = prepare_references(
         s["card_ledger"], s["card_statement"]
     )
-    return clean.select(
-        F.col("STMT_REFERENCE_NO").alias("ref"), F.lit(False).alias("refunded")
-    ).unionByName(
-        refunded.select(
-            F.trim(F.col("`REFERENCE NO`")).alias("ref"), F.lit(True).alias("refunded")
-        )
+    ref = F.col("STMT_REFERENCE_NO").alias("ref")
+    return clean.select(ref, F.lit(False).alias("refunded")).unionByName(
+        refunded.select(ref, F.lit(True).alias("refunded"))
     )
 
 

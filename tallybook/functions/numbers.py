@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallybook.functions._cols import ColumnOrName, as_col
+from tallybook.functions._cols import ColumnOrName, as_col, once
 from tallybook.functions.text import strip
 
 # Java reads a trailing type letter as part of a number; here it is text.
 _TYPE_LETTERS = ("d", "D", "f", "F")
+# Digits with at most one point and one sign.
+_PLAIN_NUMBER = r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)\z"
 
 
 def to_number(c: ColumnOrName) -> Column:
@@ -47,15 +49,13 @@ def whole_number_text(c: ColumnOrName) -> Column:
     empty string. Other text is only stripped. Plain numbers of any length are cut
     as text, so that no digit is lost; only exponent forms are computed, up to 38 digits.
     """
-    text = strip(c)
-    # without patterns: Spark writes this expression out in each filter, join key and output that uses it
-    signed = F.left(text, F.lit(1)).isin("+", "-")
-    body = F.when(signed, F.substring(text, 2, 1 << 30)).otherwise(text)
-    head = F.substring_index(body, ".", 1)
-    digits = F.translate(body, ".", "")
-    point = F.length(body) - F.length(digits)
-    plain = (digits != "") & (F.translate(digits, "0123456789", "") == "") & (point <= 1)
-    units = F.ltrim(head, F.lit("0"))
+    return once(strip(c), _cut_to_units)
+
+
+def _cut_to_units(text: Column) -> Column:
+    # one pattern tells plain numbers, whose sign and leading zeros are then cut off as text
+    plain = text.rlike(_PLAIN_NUMBER)
+    units = F.ltrim(F.substring_index(F.ltrim(text, F.lit("+-")), ".", 1), F.lit("0"))
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     cut = F.when(units == "", F.lit("0")).otherwise(F.concat(sign, units))
     value = text.try_cast("decimal(38,18)")

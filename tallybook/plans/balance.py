@@ -76,7 +76,7 @@ def reconcile_balanced(service: str, ledger: DataFrame, statement: DataFrame) ->
     """
     led, n_led = numbered(accepted(ledger), LEDGER_ROW)
     stm, n_stm = numbered(accepted(statement), STATEMENT_ROW)
-    rows = staged(reconcile_ledger(service, led, stm).rows())
+    rows = staged(reconcile_ledger(service, led, stm, stage=True).rows())
     rows_in, rows_placed, parts = {"ledger": n_led, "statement": n_stm}, {}, []
     for side, n in rows_in.items():
         by_category, whole = accounted(rows, side)

@@ -31,15 +31,25 @@ LEDGER_PLANS: dict[str, Callable[[DataFrame, DataFrame], Result]] = {
 }
 
 
-def reconcile_ledger(service: str, ledger: DataFrame, statement: DataFrame) -> Result:
+# The plans that can keep an intermediate result in the shared folder.
+STAGED_PLANS: dict[str, Callable[[DataFrame, DataFrame], Result]] = {
+    "AEPS": lambda led, stm: reconcile_settlement(led, stm, stage=True),
+}
+
+
+def reconcile_ledger(
+    service: str, ledger: DataFrame, statement: DataFrame, stage: bool = False
+) -> Result:
     """Buckets and counts for one service's pair of files, and the rows with unreadable values.
 
-    Lines that do not fit their file's layout (see ``read_csv``) take no part.
+    Lines that do not fit their file's layout (see ``read_csv``) take no part. ``stage`` lets a plan keep rows
+    that it uses several times in the shared folder.
     """
     if service not in LEDGER_PLANS:
         raise UnknownServiceError(f"no ledger reconciliation for '{service}'")
     files = ledger_files(service)
-    found = LEDGER_PLANS[service](accepted(ledger), accepted(statement))
+    plan = (STAGED_PLANS if stage else {}).get(service, LEDGER_PLANS[service])
+    found = plan(accepted(ledger), accepted(statement))
     rejects = rejected(ledger, "ledger", files.ledger).unionByName(
         rejected(statement, "statement", files.statement)
     )

@@ -33,6 +33,7 @@ from tallybook.plans.ledger_common import (
 )
 from tallybook.plans.result import Result
 from tallybook.sources.files import as_text, require_columns
+from tallybook.sources.staging import staged
 
 # Result columns, in order.
 COLUMNS = (
@@ -119,11 +120,11 @@ def is_idle() -> Column:
     return F.col("SUM_AMOUNT").isNull()
 
 
-def mark_commission(compared: DataFrame) -> DataFrame:
+def mark_commission(compared: DataFrame, marked: DataFrame | None = None) -> DataFrame:
     """``IS_COMMISSION`` for ledger rows that settle nothing and directly follow an agreeing one.
 
     Both sides get a shuffle of their own, so that rows without a readable serial
-    number, which all lie in one partition, can be split.
+    number, which all lie in one partition, can be split. ``marked``: the rows to mark, if not all.
     """
     bases = own_shuffle(
         compared.where("AGREES")
@@ -132,7 +133,8 @@ def mark_commission(compared: DataFrame) -> DataFrame:
         "NEXT_SNO",
     )
     follows = is_idle() & F.col("NEXT_SNO").isNotNull()
-    return compared.join(bases, opaque("SNO") == F.col("NEXT_SNO"), "left").select(
+    rows = compared if marked is None else marked
+    return rows.join(bases, opaque("SNO") == F.col("NEXT_SNO"), "left").select(
         *compared.columns, follows.alias("IS_COMMISSION")
     )
 
@@ -143,7 +145,8 @@ def with_commission(compared: DataFrame) -> DataFrame:
         compared.where(is_idle()).select("SNO", "TYPE", "DATE", *numbers_of(compared, LEDGER_ROW)),
         "C_",
     )
-    follows = F.col("AGREES") & (F.col("SNO") + 1 == F.col("C_SNO"))
+    # by the settling row's own number, by which the rows are shuffled already
+    follows = F.col("AGREES") & (F.col("SNO") == F.try_subtract("C_SNO", F.lit(1).cast("bigint")))
     return compared.where(~is_idle()).join(commission, follows, "left")
 
 
@@ -158,7 +161,7 @@ def _with_ledger(statement: DataFrame, settled: DataFrame) -> DataFrame:
     known = F.col("SNO").isNotNull()
     paired = F.col("C_SNO").isNotNull()
     open_ = F.coalesce(F.lower("STATUS") != FAILED, F.lit(True))
-    rows = statement.join(settled, F.col("SETTLED_ID") == F.col("SNO"), "left")
+    rows = statement.join(settled, F.col("SETTLED_ID") == opaque("SNO"), "left")
     differs = known & ~F.coalesce("AGREES", F.lit(False))
     return rows.select(
         (differs | (~known & ~open_)).alias("UNPLACED"),
@@ -227,10 +230,14 @@ def count_settlements(led: DataFrame, stm: DataFrame, others: DataFrame) -> Data
     )
 
 
-def reconcile_settlement(ledger: DataFrame, statement: DataFrame) -> Result:
+def reconcile_settlement(ledger: DataFrame, statement: DataFrame, stage: bool = False) -> Result:
+    """``stage`` keeps the ledger with its statement totals, which is used three times, in the shared folder."""
     led, stm = prepare(ledger, statement)
     compared = compare_totals(led, stm)
-    marked = mark_commission(compared)
+    if stage:
+        compared = staged(compared)
+    # rows that settle their total need no mark
+    marked = mark_commission(compared, compared.where(~F.col("AGREES")))
     ledger_side = (
         marked.where(
             F.when(is_idle(), ~F.col("IS_COMMISSION")).otherwise(~F.col("AGREES"))
@@ -238,10 +245,13 @@ def reconcile_settlement(ledger: DataFrame, statement: DataFrame) -> Result:
         .withColumn("CATEGORY", category(is_idle(), NOT_IN_STATEMENT, AMOUNT_MISMATCH))
         .withColumnRenamed("SNO", "SETTLED_ID")
     )
-    unplaced, placed = split_on(_with_ledger(stm, with_commission(compared)), F.col("UNPLACED"))
+    classified = _with_ledger(stm, with_commission(compared))
+    unplaced, placed = split_on(classified, F.col("UNPLACED"))
     rows = stack({}, COLUMNS, [placed, ledger_side])
     others = {NON_TRANSACTION_ROW: non_transactions(ledger)}
     numbers = count_settlements(led, stm, others[NON_TRANSACTION_ROW])
     return replace(
-        result(rows, numbers, NON_TRANSACTION_ROW), unplaced=stack(others, COLUMNS, [unplaced])
+        result(rows, numbers, NON_TRANSACTION_ROW),
+        unplaced=stack(others, COLUMNS, [unplaced]),
+        whole=stack(others, COLUMNS, [classified, ledger_side]),
     )

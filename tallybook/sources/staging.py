@@ -24,9 +24,10 @@ def staged(df: DataFrame) -> DataFrame:
 
     Later plans start from the files: they scan only the columns they need, and
     a lost executor costs a re-read instead of the whole lineage. The files are
-    left for the folder's own retention to remove.
+    left for the folder's own retention to remove. Zstandard, because a plan often writes more
+    than it reads back.
     """
     spark = df.sparkSession
     path = f"{staging_folder(spark)}/tallybook/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

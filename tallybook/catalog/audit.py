@@ -257,7 +257,8 @@ def csv_refund_reconcile(s: Source) -> DataFrame:
 
 def exceptions_of(s: Source, service: str, ledger: str, statement: str) -> DataFrame:
     """Sizes of the exception report's buckets, and whether there is any exception."""
-    found = reconcile_ledger(service, s[ledger], s[statement])
+    shared_folder(s)
+    found = reconcile_ledger(service, s[ledger], s[statement], stage=True).exceptions_kept("CATEGORY")
     flag = [("HAS_EXCEPTIONS", int(found.has_exceptions()))]
     sizes = found.combined().groupBy("CATEGORY").agg(F.count("*").alias("n"))
     return sizes.unionByName(s.spark.createDataFrame(flag, "CATEGORY string, n long"))

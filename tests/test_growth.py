@@ -32,3 +32,12 @@ def test_commission_of_the_least_and_greatest_serial_number(frame):
     got = {r["SETTLED_ID"]: (r["CATEGORY"], r["COMMISSION_SNO"]) for r in found.rows().collect()}
     missing = {int(n): ("not_in_statement", None) for n in ends}
     assert got == {7: ("matching_trans", 8), **missing}
+
+
+def test_exception_report_is_made_once(source):
+    found = reconcile_ledger("MATM", source["atm_ledger"], source["atm_statement"])
+    kept = found.exceptions_kept("CATEGORY")
+    assert "Join" in analysed(found.combined())
+    assert "Join" not in analysed(kept.combined())
+    assert kept.has_exceptions()
+    assert rows_of(kept.combined()) == rows_of(found.combined().select("CATEGORY"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.catalog.audit import shared_folder
 from tallybook.catalog.joins import CREDITS_SQL, DAY_END, DAY_START, END, START
 from tallybook.catalog.ledgers import count_of, metrics
 from tallybook.catalog.registry import query
@@ -14,6 +15,7 @@ from tallybook.operators.rules import TRANSFER_RULES
 from tallybook.operators.summary import match_summary
 from tallybook.plans import bill_entry, qr_recon, requests_recon, transfer_recon
 from tallybook.plans.hub_recon import buckets
+from tallybook.sources.staging import staged
 from tallybook.sources.tables import Tables
 
 WITHIN = f"BETWEEN DATE '{START}' AND DATE '{END}'"
@@ -108,6 +110,16 @@ def qr_sides(s: Source) -> tuple[DataFrame, DataFrame]:
     return qr_recon.with_wallet_credit(hub, credits), hub
 
 
+def kept_qr_sides(s: Source) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(enriched, hub, vendor)``, each written once for the buckets that use it."""
+    shared_folder(s)
+    tables = qr_tables(s)
+    hub = staged(qr_recon.qr_transactions(tables, START, END))
+    credits = qr_recon.wallet_credits(tables, START, END)
+    enriched = staged(qr_recon.with_wallet_credit(hub, credits))
+    return enriched, hub, staged(s["qr_vendor"])
+
+
 @query("upi_two_branch", *QR_VIEWS, sql=f"WITH {QR_SQL} SELECT * FROM enriched")
 def upi_two_branch(s: Source) -> DataFrame:
     return qr_sides(s)[0]
@@ -115,8 +127,7 @@ def upi_two_branch(s: Source) -> DataFrame:
 
 @query("upi_buckets", *QR_VIEWS, sql=f"WITH {QR_SQL}{QR_ROWS}")
 def upi_buckets(s: Source) -> DataFrame:
-    enriched, hub = qr_sides(s)
-    return qr_recon.qr_buckets(enriched, hub, s["qr_vendor"])
+    return qr_recon.qr_buckets(*kept_qr_sides(s))
 
 
 @query(

@@ -3,6 +3,7 @@
 import re
 
 from conftest import rows_of
+from tallybook.catalog import queries
 from tallybook.plans.ledger_recon import reconcile_ledger
 
 
@@ -41,3 +42,9 @@ def test_exception_report_is_made_once(source):
     assert "Join" not in analysed(kept.combined())
     assert kept.has_exceptions()
     assert rows_of(kept.combined()) == rows_of(found.combined().select("CATEGORY"))
+
+
+def test_payment_buckets_read_kept_sides(spark, sf_dir):
+    """The vendor rows are grouped and the payments given their credits once, not once per bucket."""
+    text = analysed(queries()["upi_buckets"](spark, sf_dir))
+    assert not re.search(r"l_orderkey|o_orderkey|c_custkey", text)

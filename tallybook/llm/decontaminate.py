@@ -44,7 +44,14 @@ UNITS = (
     "degrees % $ € £ ° c f k hz khz mhz ghz w kw v j n pa kb mb gb tb"
 )
 _UNITS = frozenset(UNITS.split())
-_TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[%$€£°]|[.!?\n]+").findall
+_PATTERN = r"\d+(?:[.,:/]\d+)*|{0}+(?:['’]{0}+)*|[%$€£°]|[.!?\n]+"
+_LETTER = r"[^\W\d_]"
+_TOKEN = re.compile(_PATTERN.format(_LETTER)).findall
+# the same, quicker, for texts whose letters are all among the first 256 characters
+_LATIN = re.compile("[\x00-\xff‘’“”–—…€]*")
+_LATIN_TOKEN = re.compile(
+    _PATTERN.format(f"[{''.join(c for c in map(chr, range(256)) if re.fullmatch(_LETTER, c))}]").replace(r"\d", "[0-9]")
+).findall
 _PIECE = 1 << 20
 # What a token is, in the low bits of its code; the others are a hash of its lower case.
 _WORD, _CAPITAL, _NUMBER, _SIGN, _END, _UNIT_WORD, _UNIT_CAPITAL = range(7)
@@ -84,7 +91,7 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         cut = text.find(" ", at + _PIECE) if at + _PIECE < len(text) else -1
         piece = text[at:] if cut < 0 else text[at:cut]
         at = len(text) if cut < 0 else cut
-        tokens = _TOKEN(piece)
+        tokens = (_LATIN_TOKEN if _LATIN.fullmatch(piece) else _TOKEN)(piece)
         parts.append(np.fromiter(map(_codes.__getitem__, tokens), np.uint64, len(tokens)))
     codes = np.concatenate(parts)
     kind = (codes & _KIND).astype(np.int8)
@@ -104,11 +111,13 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, words, number | unit | name
 
 
-def _rolling(values: np.ndarray, size: int) -> np.ndarray:
-    n = max(0, len(values) - size + 1)
+def _rolling(mixed: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all windows of values that went through ``_mix``."""
+    n = max(0, len(mixed) - size + 1)
     total = np.zeros(n, np.uint64)
     for k in range(size):
-        total = total * np.uint64(_MULTIPLIER) + _mix(values[k : k + n])
+        total *= np.uint64(_MULTIPLIER)
+        total += mixed[k : k + n]
     return total
 
 
@@ -137,23 +146,25 @@ def windows(
             # blocks overlap by what a window takes in
             part = slice(at, min(n, at + _BLOCK + size - 1))
             tokens, words, slots = all_tokens[part], all_words[part], all_slots[part]
-            as_template, literal = _rolling(tokens, size), _rolling(words, size)
+            as_template, literal = _rolling(_mix(tokens), size), _rolling(_mix(words), size)
             sums = np.concatenate([[0], np.cumsum(slots)])
             placeholders = sums[size:] - sums[:-size]
-            first = tokens[: len(as_template)] == _SLOT_NAME
+            first = np.flatnonzero(tokens[: len(as_template)] == _SLOT_NAME)
             top = np.uint64(pow(_MULTIPLIER, size - 1, 1 << 64))
-            lead = (_mix(words[: len(first)]) - _mix(tokens[: len(first)])) * top
-            for template_hash, held, given in (
-                (as_template, placeholders, None),
-                (as_template + lead, placeholders - 1, first),
+            lead = (_mix(words[first]) - _mix(tokens[first])) * top
+            for template_hash, held, begins, skipped in (
+                (as_template, placeholders, None, 0),
+                (as_template[first] + lead, placeholders[first] - 1, first, 1),
             ):
-                few = (held > 0) & (size - held < min(LEAST_WORDS, size))
-                h = _mix(np.where(few, _mix(template_hash) ^ literal, template_hash))
-                wanted = np.ones(len(h), bool) if known is None else known.has(h)
-                for i in np.flatnonzero(wanted if given is None else wanted & given):
-                    begin = i + (given is not None)
+                few = np.flatnonzero((held > 0) & (size - held < min(LEAST_WORDS, size)))
+                places = few if begins is None else begins[few]
+                template_hash[few] = _mix(template_hash[few]) ^ literal[places]
+                h = _mix(template_hash)
+                for j in range(len(h)) if known is None else np.flatnonzero(known.has(h)):
+                    i = j if begins is None else begins[j]
+                    begin = i + skipped
                     own = words[begin : i + size][slots[begin : i + size]]
-                    yield int(h[i].view(np.int64)), at + int(i), size, own.view(np.int64).tolist()
+                    yield int(h[j].view(np.int64)), at + int(i), size, own.view(np.int64).tolist()
 
 
 _BLOCK = 1 << 18

@@ -9,30 +9,33 @@ a pair that shares just 80 % is missed with a probability of 0.672^24, 1 in 14,0
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.components import components
-from tallybook.llm.shared import Pieces, saved
+from tallybook.llm.shared import saved
 from tallybook.operators.match import own_shuffle
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, BAND = 24, 5
 _CHUNK = 512
+#: Texts are taken together up to so many characters.
+TOGETHER = 1 << 22
+_BLOCK = 1 << 15
 _RANDOM = np.random.default_rng(42)
 # products of 32 bits: processors form eight at once, of 64 bits one by one
 _FLIP = _RANDOM.integers(0, 1 << 32, (BANDS * BAND, 1), np.uint32)
 _FACTOR = _RANDOM.integers(0, 1 << 31, (BANDS * BAND, 1), np.uint32) * np.uint32(2) + np.uint32(1)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
-_hashes = Pieces(xxhash.xxh64_intdigest)
-
 
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -46,28 +49,82 @@ def _chain(values: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """Sorted hashes of the different shingles; a shorter text is one, an empty one none.
+def together(texts: Iterable[str | None]) -> Iterator[list[str]]:
+    """Runs of texts, an empty one for null, of ``TOGETHER`` characters or little more, or one longer text."""
+    held, size = [], 0
+    for t in texts:
+        if held and size + len(t or "") > TOGETHER:
+            yield held
+            held, size = [], 0
+        held.append(t or "")
+        size += len(held[-1])
+    if held:
+        yield held
+
+
+def words_of(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(different words, the place there of each word of the texts, where the words of each text end).
 
     Words are separated by ASCII white space, A-Z lower-cased.
     """
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    codes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    size = min(SHINGLE, len(words))
-    n = len(words) - size + 1
-    return np.unique(_chain([codes[k : k + n] for k in range(size)]))
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.string())))
+    words = split.flatten()
+    # white space at either end of a text has an empty word beside it
+    full = pc.binary_length(words).to_numpy() > 0
+    ends = np.append(0, np.cumsum(full))[np.cumsum(pc.list_value_length(split).to_numpy())]
+    coded = words.filter(pa.array(full)).dictionary_encode()
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), ends
+
+
+def shingle_sets(words: list[str], at: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """``shingles`` of each text whose words ``words_of`` gave."""
+    codes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))[at]
+    whole = np.empty(max(0, len(codes) - SHINGLE + 1), np.uint64)
+    for i in range(0, len(whole), _BLOCK):
+        last = min(i + _BLOCK, len(whole))
+        whole[i:last] = _chain([codes[i + k : last + k] for k in range(SHINGLE)])
+    out, begin = [], 0
+    for end in ends.tolist():
+        if end - begin >= SHINGLE:
+            out.append(_different(whole[begin : end - SHINGLE + 1]))
+        else:
+            out.append(_chain(list(codes[begin:end, None])) if begin < end else codes[:0])
+        begin = end
+    return out
+
+
+def _different(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    again = values[1:] == values[:-1]
+    return values[np.append(True, ~again)] if again.any() else values
 
 
-def bands(own: np.ndarray) -> np.ndarray:
-    """A key for each band of min-wise hashes of a set that is not empty."""
+def shingles(text: str | None) -> np.ndarray:
+    """Sorted hashes of the different shingles; a shorter text is one, an empty one none."""
+    return shingle_sets(*words_of([text or ""]))[0]
+
+
+def _least(own: np.ndarray) -> np.ndarray:
+    """The min-wise hashes of a set that is not empty."""
     short = (own >> np.uint64(32)).astype(np.uint32)
     least = np.full(BANDS * BAND, (1 << 32) - 1, np.uint32)
+    room = np.empty((BANDS * BAND, min(_CHUNK, len(short))), np.uint32)
     for i in range(0, len(short), _CHUNK):
-        least = np.minimum(least, ((short[None, i : i + _CHUNK] ^ _FLIP) * _FACTOR).min(1))
-    by_band = least.reshape(BANDS, BAND).astype(np.uint64)
-    return _chain([np.arange(BANDS, dtype=np.uint64), *by_band.T]).view(np.int64)
+        part = short[None, i : i + _CHUNK]
+        products = room[:, : part.shape[1]]
+        np.bitwise_xor(part, _FLIP, out=products)
+        np.multiply(products, _FACTOR, out=products)
+        np.minimum(least, products.min(1), out=least)
+    return least
+
+
+def bands(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """A key for each band of min-wise hashes of each set; an empty set has none."""
+    full = [s for s in sets if len(s)]
+    least = np.array([_least(s) for s in full], np.uint64).reshape(len(full), BANDS, BAND)
+    first = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), least.shape[:2])
+    keys = iter(_chain([first, *np.moveaxis(least, 2, 0)]).view(np.int64))
+    return [next(keys) if len(s) else np.zeros(0, np.int64) for s in sets]
 
 
 def similar(shared, a, b):
@@ -78,18 +135,22 @@ def similar(shared, a, b):
 MARKS = "shingles binary, bands array<bigint>"
 
 
-def marks_of(texts: pd.Series) -> pd.DataFrame:
-    sets = [shingles(t) for t in texts]
+def marks_of_sets(sets: list[np.ndarray]) -> pd.DataFrame:
     return pd.DataFrame(
         {
             "shingles": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
-            "bands": [bands(s) if len(s) else np.zeros(0, np.int64) for s in sets],
+            "bands": bands(sets),
         }
     )
 
 
+def marks_of(texts: pd.Series) -> pd.DataFrame:
+    parts = [marks_of_sets(shingle_sets(*words_of(some))) for some in together(texts)]
+    return pd.concat(parts, ignore_index=True)
+
+
 def _sets(texts: pd.Series) -> pd.Series:
-    return pd.Series([shingles(t).tobytes() for t in texts])
+    return pd.Series([s.tobytes() for some in together(texts) for s in shingle_sets(*words_of(some))])
 
 
 def _agree(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -106,8 +167,8 @@ def forest(sets: list[np.ndarray], roots: list[int]) -> list[tuple[int, int]]:
     Sets with the same root are connected already and are not compared; the roots with
     the fewest sets come first.
     """
-    sizes, whole = np.array([len(s) for s in sets]), np.concatenate(sets)
-    begins, known = np.cumsum(sizes) - sizes, np.unique(roots, return_inverse=True)[1]
+    sizes = np.array([len(s) for s in sets])
+    known = np.unique(roots, return_inverse=True)[1]
     rest, links = np.ones(len(sets), bool), []
     # nothing is left to compare the last root with
     for root in np.argsort(np.bincount(known), kind="stable")[:-1]:
@@ -115,9 +176,14 @@ def forest(sets: list[np.ndarray], roots: list[int]) -> list[tuple[int, int]]:
         rest[queue] = False
         while queue and rest.any():
             x = queue.pop()
+            # near copies share no more than the smaller set has, so others are too small or too large
+            fit = np.flatnonzero(rest & similar(np.minimum(sizes, sizes[x]), sizes[x], sizes))
+            if not len(fit):
+                continue
+            whole, begins = np.concatenate([sets[i] for i in fit]), np.cumsum(sizes[fit]) - sizes[fit]
             at = np.minimum(np.searchsorted(sets[x], whole), sizes[x] - 1)
             shared = np.add.reduceat((sets[x][at] == whole).astype(np.int64), begins)
-            near = np.flatnonzero(rest & similar(shared, sizes[x], sizes))
+            near = fit[similar(shared, sizes[x], sizes[fit])]
             links += [(x, int(i)) for i in near]
             found = np.flatnonzero(rest & np.isin(known, known[near]))
             rest[found] = False
@@ -131,17 +197,22 @@ def _bucket_links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         held = b if held is None else pd.concat([held, b], ignore_index=True)
         last = held["band"].iloc[-1] if len(held) else None
-        yield from _each(held[held["band"] != last])
+        yield _links_in(held[held["band"] != last])
         held = held[held["band"] == last]
     if held is not None:
-        yield from _each(held)
+        yield _links_in(held)
 
 
-def _each(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    for _, g in rows.groupby("band", sort=False):
-        node = g["node"].to_numpy()
-        links = forest([np.frombuffer(x, np.uint64) for x in g["own"]], g["root"].tolist())
-        yield pd.DataFrame({"a": [node[i] for i, _ in links], "b": [node[i] for _, i in links]})
+def _links_in(rows: pd.DataFrame) -> pd.DataFrame:
+    """The links of all buckets of sorted rows in one frame; there are many small buckets."""
+    band, node, root = (rows[c].to_numpy() for c in ("band", "node", "root"))
+    sets, links = [np.frombuffer(x, np.uint64) for x in rows["own"]], []
+    cuts = [0, *(np.flatnonzero(band[1:] != band[:-1]) + 1).tolist(), len(rows)]
+    for i, j in zip(cuts, cuts[1:]):
+        if i < j:
+            links += [(i + x, i + y) for x, y in forest(sets[i:j], root[i:j].tolist())]
+    at = np.array(links, np.int64).reshape(-1, 2)
+    return pd.DataFrame({"a": node[at[:, 0]], "b": node[at[:, 1]]})
 
 
 def near_copies(rows: DataFrame) -> DataFrame:
@@ -160,6 +231,23 @@ def near_copies(rows: DataFrame) -> DataFrame:
     return linked(marked, rows)
 
 
+def _mixed_bands(placed: DataFrame) -> DataFrame:
+    """(band) of the buckets of rows (band, node, root) that hold several roots, one of those with the same nodes.
+
+    Near copies meet in several bands. Nodes are compared by number, least, greatest and hash.
+    """
+    buckets = placed.groupBy("band").agg(
+        F.min("root").alias("m"),
+        F.max("root").alias("n"),
+        F.min("node").alias("least"),
+        F.max("node").alias("greatest"),
+        F.count("*").alias("size"),
+        F.bit_xor(F.xxhash64("node")).alias("hash"),
+    )
+    same = buckets.where("m <> n").groupBy("least", "greatest", "size", "hash")
+    return same.agg(F.min("band").alias("band")).select("band")
+
+
 def linked(marked: DataFrame, rows: DataFrame) -> DataFrame:
     """``near_copies`` of ``rows`` whose marks (node, shingles, bands) are known; both are read several times."""
     least = saved(
@@ -194,8 +282,7 @@ def linked(marked: DataFrame, rows: DataFrame) -> DataFrame:
         .select("band", "node", F.coalesce("root", "node").alias("root")),
         "placed",
     )
-    mixed = placed.groupBy("band").agg(F.min("root").alias("m"), F.max("root").alias("n"))
-    mixed = placed.join(own_shuffle(mixed.where("m <> n").select("band"), "band"), "band", "left_semi")
+    mixed = placed.join(own_shuffle(_mixed_bands(placed), "band"), "band", "left_semi")
     more = saved(
         mixed.join(sets, "node")
         .select("band", "node", "root", "own")

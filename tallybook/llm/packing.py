@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.near_copies import MARKS, linked, marks_of
+from tallybook.llm.near_copies import MARKS, linked, marks_of_sets, shingle_sets, together, words_of
 from tallybook.llm.shared import WORD_SPACE, saved
 from tallybook.llm.tokenizing import encoder
 
@@ -185,36 +185,36 @@ def pack_texts(
     ``near_copies``; texts without words have none. Every row is placed, null and empty
     texts with length 1, repeated rows each for itself; an empty table gives no rows.
     """
-    # numbered once and written, so that a number always means the same row
-    numbered = saved(
-        df.select(
-            F.col(f"`{key}`").alias("id"),
-            F.col(f"`{text}`").alias("text"),
-            F.col(f"`{source}`").alias("source"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-        "numbered",
-    )
     path = tokenizer or public_tokenizers.path(TOKENIZER)
 
     def marks(texts: pd.Series) -> pd.DataFrame:
-        count = encoder(path).count
-        return marks_of(texts).assign(size=[count(t) + 1 for t in texts])
-
-    # one pass over the texts; what follows reads numbers only, and the texts of candidates
+        counts, parts = encoder(path).counts, []
+        for some in together(texts):
+            words = words_of(some)
+            parts.append(marks_of_sets(shingle_sets(*words)).assign(size=counts(some, *words) + 1))
+        return pd.concat(parts, ignore_index=True)
+
+    # numbered and written in one pass over the texts, so that a number always means the same row;
+    # what follows reads numbers only, and the texts of candidates
     marked = saved(
-        numbered.select(
+        df.select(
+            F.col(f"`{key}`").alias("id"),
+            F.col(f"`{text}`").alias("text"),
+            F.col(f"`{source}`").alias("source"),
+            F.monotonically_increasing_id().alias("node"),
+        )
+        .select(
             "id",
+            "text",
             "source",
-            F.col("row").alias("node"),
+            "node",
             has_words("text").alias("words"),
             F.pandas_udf(marks, f"{MARKS}, size long")("text").alias("m"),
-        ).select("id", "source", "node", "words", "m.*"),
+        )
+        .select("id", "text", "source", "node", "words", "m.*"),
         "marks",
     )
-    roots = linked(
-        marked.select("node", "shingles", "bands"), numbered.select(F.col("row").alias("node"), "text")
-    )
+    roots = linked(marked.select("node", "shingles", "bands"), marked.select("node", "text"))
     rows = marked.join(roots, "node").select(
         "id", "source", F.col("node").alias("row"), "size", F.when(F.col("words"), F.col("root")).alias("cluster")
     )

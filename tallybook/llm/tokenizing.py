@@ -36,6 +36,7 @@ _PATTERNS = {
 # Characters that byte-level vocabularies write bytes as, those of ``_PRINTED`` as themselves.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_SPACE_BYTE = chr(_BYTE_LEVEL[32])
 # the pattern of words with a space between them; what begins alike is in the same order, letters come first
 _APART = rf"[{_LETTER}]+| |[{_DIGIT}]|{_ENDINGS}|[^{_SPACE}{_LETTER}{_DIGIT}]+"
 
@@ -58,6 +59,14 @@ class Encoder:
         self._model = self.tokenizer.model.tokenize
         probe = [*"aàß5¿…’", "they", "été", "naïve", "groß", "?!", "”…", "€%"]
         self._alone = kind == "word" and all(self._by_model(p) == self._encode(p).tolist() for p in probe)
+        # whether ``spaced_word`` holds: such a word is one piece, and none is an added token
+        added = [str(t.content).strip() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        spaced = [" a", " they", " été", " naïve", " Größe", " XÀÿ"]
+        self.spaces_words = (
+            kind == "byte"
+            and not any(re.fullmatch(f"[{_LETTER}]*", t) for t in added)
+            and all(self.spaced_word(w) == self._encode(w).tolist() for w in spaced)
+        )
         self._find_apart = re.compile(_APART).findall
         # lengths of pieces that have been encoded; a space stands between words
         self._lengths: dict[str, int] = {" ": -1}
@@ -125,6 +134,10 @@ class Encoder:
     def _by_model(self, piece: str) -> list[int]:
         return [token.id for token in self._model(_byte_level(piece))]
 
+    def spaced_word(self, word: str) -> list[int]:
+        """Ids of letters with a space in front, by the model of a byte-level tokenizer alone."""
+        return [token.id for token in self._model(_SPACE_BYTE + _byte_level(word[1:]))]
+
     def ids(self, text: str | None) -> bytes:
         """The ids as little-endian numbers of :attr:`width`."""
         pieces = self._pieces(text or "")

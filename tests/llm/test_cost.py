@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pandas as pd
 import public_tokenizers
-from tallybook.llm import decontaminate, near_copies, packing, tokenizing
+from tallybook.llm import alignment, decontaminate, near_copies, packing, tokenizing
 from tokenizers import Tokenizer
 
 
@@ -98,3 +98,15 @@ def test_buckets_of_the_same_nodes_are_compared_once(spark):
     rows += [(6, 1, 1), (6, 6, 6), (6, 3, 3), (7, 3, 3), (7, 1, 1), (7, 6, 6), (8, 1, 1), (8, 6, 6), (8, 2, 2)]
     placed = spark.createDataFrame(rows, "band long, node long, root long")
     assert sorted(r["band"] for r in near_copies._mixed_bands(placed).collect()) == [1, 3, 5, 6, 8]
+
+
+def test_words_with_a_space_are_encoded_by_the_model_alone(monkeypatch):
+    side = alignment.byte_level_side(public_tokenizers.path("byte_bpe_50k.json"))
+    whole, rows = side._compute, []
+    monkeypatch.setattr(side, "_compute", lambda units: rows.extend(units) or whole(units))
+    words = [" the", " été", " Größe", " naïveté", " Xyzzyqwk", " ÀÿØ", " " + "ab" * 30]
+    found = side.ids_of([*words, " 12", "!?"])
+    assert "".join(words) not in rows and not set(words) & set(rows)
+    for unit, ids in found.items():
+        assert np.frombuffer(ids, np.int32).tolist() == whole([unit])[0]
+    assert len(found) == len(words) + 2

@@ -61,12 +61,13 @@ def fresh(names: Iterable[str], wanted: str) -> str:
 class Pieces(dict):
     """piece -> value, computed on first use."""
 
-    def __init__(self, compute: Callable) -> None:
+    def __init__(self, compute: Callable, remembered: int = REMEMBERED) -> None:
         super().__init__()
         self._compute = compute
+        self._remembered = remembered
 
     def __missing__(self, piece: str):
-        if len(self) >= REMEMBERED:
+        if len(self) >= self._remembered:
             self.clear()
         value = self[piece] = self._compute(piece)
         return value

@@ -33,6 +33,26 @@ def test_latin_tokens_are_those_of_the_general_pattern():
     assert decontaminate._LATIN.fullmatch("Él paga 5 € — l’été")
 
 
+def test_templates_of_many_texts_read_each_word_once(monkeypatch):
+    hashed, digest = [], decontaminate.xxhash.xxh64_intdigest
+    monkeypatch.setattr(decontaminate.xxhash, "xxh64_intdigest", lambda w: hashed.append(w) or digest(w))
+    monkeypatch.setattr(decontaminate, "_BLOCK", 64)
+    texts = ["She paid 5 km to Ann. KM Été été!", "", "\n", "l’été 12,5kg\nIBM I. ÉTÉ ªb µm ABc, 日本 5 €", "Ann paid Bob 7 cm"] * 40
+    texts += [" ".join(f"w{chr(97 + i % 7)} Paris 12" for i in range(100))]
+    together = list(decontaminate.windows_of(texts, (1, 3, 5, 8)))
+    assert len(hashed) == len(set(hashed))
+    alone = [(i, *w) for i, t in enumerate(texts) for w in decontaminate.windows(t, (1, 3, 5, 8))]
+    assert sorted(together) == sorted(alone) and len({w[0] for w in together}) == 121
+    known = decontaminate.Known(np.array([w[1] for w in together[::50]], np.int64))
+    wanted = {w[1] for w in together[::50]}
+    assert sorted(decontaminate.windows_of(texts, (1, 3, 5, 8), known)) == sorted(w for w in together if w[1] in wanted)
+    # every token is what the pattern and its code make of it
+    for text in texts:
+        codes = [decontaminate._code(t) for t in decontaminate._TOKEN(text)]
+        words = [c & ~7 for c in codes if c & 7 != decontaminate._END]
+        assert decontaminate.template(text)[1].tolist() == words
+
+
 def test_lengths_from_words_are_those_of_the_library(monkeypatch):
     path = public_tokenizers.path(packing.TOKENIZER)
     plain = Tokenizer.from_file(path)

@@ -15,11 +15,14 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from importlib.metadata import version
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from tallybook.llm.shared import REMEMBERED, Pieces, ShortPieces
+from tallybook.llm.shared import REMEMBERED, Pieces
 
 # Each worker process has a core of its own; the library must not start threads in it.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -37,6 +40,9 @@ _PATTERNS = {
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _SPACE_BYTE = chr(_BYTE_LEVEL[32])
+# letters in one string, marks that are often behind a word, characters of a piece whose length is remembered
+_LETTERS = "".join(c for c in map(chr, range(256)) if re.fullmatch(f"[{_LETTER}]", c))
+_MARKS, _SHORT = ".,;:!?", 10
 # the pattern of words with a space between them; what begins alike is in the same order, letters come first
 _APART = rf"[{_LETTER}]+| |[{_DIGIT}]|{_ENDINGS}|[^{_SPACE}{_LETTER}{_DIGIT}]+"
 
@@ -68,8 +74,7 @@ class Encoder:
             and all(self.spaced_word(w) == self._encode(w).tolist() for w in spaced)
         )
         self._find_apart = re.compile(_APART).findall
-        # lengths of pieces that have been encoded; a space stands between words
-        self._lengths: dict[str, int] = {" ": -1}
+        self._lengths: dict[str, int] = {}
 
     def _encode(self, text: str) -> array:
         return array(self._type, self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -110,21 +115,36 @@ class Encoder:
         return out
 
     def _lengths_of(self, words: list[str]) -> np.ndarray:
-        """How many tokens words without white space have, all cut in one go."""
-        pieces, known = self._find_apart(" ".join(["", *words]).lower()), self._lengths
-        different = set(pieces)
-        if len(known) + len(different) > REMEMBERED:
+        """How many tokens words without white space have; each different piece of them is looked up once."""
+        low = pc.utf8_lower(pa.array(words, pa.string()))
+        core = pc.utf8_rtrim(low, _MARKS)
+        # most words are a piece of letters, and perhaps one of marks behind it
+        plain = pc.match_substring_regex(core, f"^[{_LETTER}]+$")
+        marks = pc.utf8_ltrim(low.filter(plain), _LETTERS)
+        rest = low.filter(pc.invert(plain)).to_numpy(zero_copy_only=False)
+        out, plain = np.zeros(len(words), np.int64), plain.to_numpy(zero_copy_only=False)
+        out[plain] = self._lengths_in(core.filter(pa.array(plain))) + self._lengths_in(marks)
+        if len(rest):
+            # the others are cut with a space in front of each
+            pieces = pa.array(self._find_apart("".join(f" {w}" for w in rest)), pa.string())
+            lengths, gap = self._lengths_in(pieces), pc.equal(pieces, " ").to_numpy(zero_copy_only=False)
+            lengths[gap] = 0
+            out[~plain] = np.add.reduceat(lengths, np.flatnonzero(gap))
+        return out
+
+    def _lengths_in(self, pieces: pa.StringArray) -> np.ndarray:
+        """How many tokens pieces have, none if empty; long ones are rare and computed each time."""
+        coded, known = pieces.dictionary_encode(), self._lengths
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        lengths = np.fromiter(map(known.get, different, repeat(-1)), np.int64, len(different))
+        new = np.flatnonzero(lengths < 0).tolist()
+        names = [different[i] for i in new]
+        lengths[new] = found = list(self._lengths_alone(names))
+        kept = [x for x in zip(names, found) if len(x[0]) <= _SHORT]
+        if len(known) + len(kept) > REMEMBERED:
             known.clear()
-            known[" "] = -1
-        new = list(different.difference(known))
-        known.update(zip(new, self._lengths_alone(new)))
-        lengths = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
-        # long pieces are computed each time, so that the bytes of what is remembered are bounded
-        for piece in new:
-            if len(piece) > ShortPieces.LONGEST:
-                del known[piece]
-        begins = np.flatnonzero(lengths < 0)
-        return np.add.reduceat(lengths, begins) + 1 if len(begins) else lengths
+        known.update(kept)
+        return lengths[coded.indices.to_numpy()]
 
     def _lengths_alone(self, pieces: list[str]) -> Iterator[int]:
         if not self._alone:

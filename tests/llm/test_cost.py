@@ -69,6 +69,20 @@ def test_lengths_from_words_are_those_of_the_library(monkeypatch):
     assert {"one", "two", "été", "a"}.isdisjoint(called)
 
 
+def test_words_of_letters_and_marks_are_not_cut_again(monkeypatch):
+    tool = tokenizing.Encoder(public_tokenizers.path(packing.TOKENIZER))
+    cut, find, asked, alone = [], tool._find_apart, [], tool._lengths_alone
+    monkeypatch.setattr(tool, "_find_apart", lambda t: cut.append(t) or find(t))
+    monkeypatch.setattr(tool, "_lengths_alone", lambda names: asked.extend(names) or alone(names))
+    for _ in range(2):
+        texts = ["Été, été! one one, ONE;", "don't 12,5 «one»!?", "abcdefghijklmnop one?!"]
+        got = tool.counts(texts, *near_copies.words_of(texts))
+        assert got.tolist() == [len(tool._encode(t)) for t in texts]
+    assert cut == [" don't 12,5 «one»!?"] * 2
+    # long pieces are rare and not remembered
+    assert asked.count("one") == 1 and asked.count("abcdefghijklmnop") == 2 and "abcdefghijklmnop" not in tool._lengths
+
+
 def test_different_words_of_many_texts_are_hashed_once(monkeypatch):
     hashed, digest = [], near_copies.xxhash.xxh64_intdigest
     monkeypatch.setattr(near_copies.xxhash, "xxh64_intdigest", lambda w: hashed.append(w) or digest(w))

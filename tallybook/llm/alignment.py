@@ -30,14 +30,14 @@ from pyspark.sql.types import StructField, StructType
 from tokenizers import Tokenizer
 
 from tallybook.errors import TallyError
-from tallybook.llm.shared import Pieces, fresh, saved
+from tallybook.llm.shared import Pieces, begin_step, fresh, saved
 from tallybook.llm.tokenizing import Encoder
 
-#: Rows are handed on when they hold so many links.
+#: Rows are handed on, and their links looked up, when they hold so many links.
 CHUNK = 1 << 20
 #: Remembered texts of groups that are not one token on both sides, and the longest that are remembered.
 GROUPS, GROUP_TEXT = 100_000, 120
-#: Remembered units of text of a tokenizer in a worker process, some 45 MB. When full, it starts anew.
+#: Remembered units of text in a worker process, some 45 MB, and as many that came before them.
 UNITS = 150_000
 #: Longer units of text are encoded each time.
 LONGEST = 64
@@ -59,6 +59,37 @@ _SIMPLE = re.compile(f"[A-Za-zÀ-ÖØ-öø-ÿ0-9 {re.escape(_MARKS.replace(chr(3
 _SPACES = re.compile(r"\s\s")
 
 
+class Recent:
+    """What belongs to units of text, of those that came last; ``compute`` gives it for a list of new ones.
+
+    When ``UNITS`` are held they become the older ones, of which those that come again are taken over.
+    """
+
+    def __init__(self, compute: Callable[[list[str]], dict[str, object]]) -> None:
+        self._compute = compute
+        self._known: dict[str, object] = {}
+        self._older: dict[str, object] = {}
+
+    def of(self, units: list[str]) -> list:
+        known = self._known
+        new = set(units).difference(known)
+        if new:
+            if len(known) + len(new) > UNITS:
+                self._older, self._known = known, {}
+                known, new = self._known, set(units)
+            older = self._older
+            again = [u for u in new if u in older]
+            known.update(zip(again, map(older.__getitem__, again)))
+            new.difference_update(again)
+            if new:
+                known.update(self._compute(list(new)))
+        found = list(map(known.__getitem__, units))
+        for unit in new:
+            if len(unit) > LONGEST:
+                del known[unit]
+        return found
+
+
 class Side:
     """One tokenizer: ``pieces`` has the bytes of every id.
 
@@ -81,7 +112,7 @@ class Side:
     ) -> None:
         self.pieces, self._units, self._compute = pieces, units, compute
         self.lengths = np.array([len(p) for p in pieces], np.int32)
-        self._known: dict[str, bytes | None] = {}
+        self._recent = Recent(self.ids_of)
 
     def ids_of(self, units: list[str]) -> dict[str, bytes | None]:
         """Ids of units, None for one that they do not spell.
@@ -113,17 +144,7 @@ class Side:
 
     def encode(self, text: str) -> np.ndarray | None:
         """Ids of a text; None if their bytes are not those of the text with a space in front."""
-        units, known = self._units(text), self._known
-        new = list(set(units).difference(known))
-        if new:
-            if len(known) + len(new) > UNITS:
-                known.clear()
-                new = list(set(units))
-            known.update(self.ids_of(new))
-        found = list(map(known.__getitem__, units))
-        for unit in new:
-            if len(unit) > LONGEST:
-                del known[unit]
+        found = self._recent.of(self._units(text))
         return None if None in found else np.frombuffer(b"".join(found), np.int32)
 
 
@@ -138,25 +159,18 @@ class Sides:
     def __init__(self, left: Side, right: Side) -> None:
         self.left, self.right = left, right
         self._unit = right.unit if left.splits_classes else None
-        self._known: dict[str, tuple[bytes, bytes] | None] = {}
+        self._recent = Recent(self._both)
+
+    def _both(self, units: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
+        a, b = self.left.ids_of(units), self.right.ids_of(units)
+        return {u: None if a[u] is None or b[u] is None else (a[u], b[u]) for u in units}
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both sides; None if one of them does not spell the text."""
         if self._unit is None or not _SIMPLE.fullmatch(text) or _SPACES.search(" " + text):
             a, b = self.left.encode(text), self.right.encode(text)
             return None if a is None or b is None else (a, b)
-        units, known = self._unit.findall(" " + text), self._known
-        new = list(set(units).difference(known))
-        if new:
-            if len(known) + len(new) > UNITS:
-                known.clear()
-                new = list(set(units))
-            a, b = self.left.ids_of(new), self.right.ids_of(new)
-            known.update((u, None if a[u] is None or b[u] is None else (a[u], b[u])) for u in new)
-        found = list(map(known.__getitem__, units))
-        for unit in new:
-            if len(unit) > LONGEST:
-                del known[unit]
+        found = self._recent.of(self._unit.findall(" " + text))
         if None in found:
             return None
         return tuple(np.frombuffer(b"".join(side), np.int32) for side in zip(*found))
@@ -386,13 +400,15 @@ def align_tokens(
     """(id, n_a, n_b, n_groups, groups_sha256, links) for each row of ``df``, written once.
 
     ``left`` and ``right``: tokenizer files that every worker has. links: an array with
-    ``left id * size of the right vocabulary + right id`` for each link.
+    ``left id * size of the right vocabulary + right id`` for each link, of four bytes if these are enough.
     """
     size = len(_side(right).pieces)
+    small = len(_side(left).pieces) * size <= 1 << 31
+    kind, number = ("int", pa.int32()) if small else ("long", pa.int64())
     schema = StructType(
         [StructField("id", df.schema[key].dataType)]
         + StructType.fromDDL(
-            "n_a long, n_b long, n_groups long, groups_sha256 string, links array<long>"
+            f"n_a long, n_b long, n_groups long, groups_sha256 string, links array<{kind}>"
         ).fields
     )
     if 0 in map(len, _side(left).pieces + _side(right).pieces):
@@ -401,11 +417,12 @@ def align_tokens(
     def table(keys: pa.Array, found: list[tuple], links: list[np.ndarray]) -> pa.RecordBatch:
         counts = list(zip(*found))
         offsets = np.append(0, np.cumsum([len(x) for x in links])).astype(np.int32)
-        values = pa.array(np.concatenate(links), pa.int64())
+        values = pa.array(np.concatenate(links).astype(number.to_pandas_dtype()))
         arrays = [keys, *(pa.array(c) for c in counts), pa.ListArray.from_arrays(offsets, values)]
         return pa.RecordBatch.from_arrays(arrays, schema.names)
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_step("alignment", forget)
         sides = _sides(left, right)
         for batch in batches:
             begin, held, found, links = 0, 0, [], []
@@ -432,6 +449,30 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     )
 
 
+def forget() -> None:
+    """Drops the tokenizers of this worker process and what it remembers of texts."""
+    _sides.cache_clear()
+    _side.cache_clear()
+    _pair.clear()
+    _uneven.clear()
+
+
+def chunks(batch: pa.RecordBatch, links: pa.ListArray) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of at most ``CHUNK`` links, or of one row."""
+    ends, begin, done = np.cumsum(links.value_lengths().to_numpy()), 0, 0
+    while begin < batch.num_rows:
+        end = max(begin + 1, int(np.searchsorted(ends, done + CHUNK, "right")))
+        yield batch.slice(begin, end - begin)
+        begin, done = end, int(ends[end - 1])
+
+
+def link_sums(links: pa.ListArray, codes: np.ndarray, values: tuple[np.ndarray, ...]) -> list[pa.Array]:
+    """For each array of values of the sorted ``codes``, its sum over the links of each row."""
+    at = np.searchsorted(codes, links.flatten().to_numpy())
+    ends = np.append(0, np.cumsum(links.value_lengths().to_numpy()))
+    return [pa.array(np.diff(np.append(0, np.cumsum(v[at], dtype=np.int64))[ends])) for v in values]
+
+
 def alignment_report(
     df: DataFrame, left: str, right: str, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
@@ -460,16 +501,12 @@ def alignment_report(
     )
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_step("links")
         codes, counts, best = shared.value
         for batch in batches:
-            links = batch.column(len(kept))
-            at = np.searchsorted(codes, links.flatten().to_numpy())
-            ends = np.cumsum(links.value_lengths().to_numpy())
-            arrays = list(batch.columns[: len(kept)])
-            for values in (best, counts):
-                sums = np.append(0, np.cumsum(values[at], dtype=np.int64))
-                arrays.append(pa.array(np.diff(sums[np.append(0, ends)])))
-            yield pa.RecordBatch.from_arrays(arrays, schema.names)
+            for rows in chunks(batch, batch.column(len(kept))):
+                sums = link_sums(rows.column(len(kept)), codes, (best, counts))
+                yield pa.RecordBatch.from_arrays([*rows.columns[: len(kept)], *sums], schema.names)
 
     return aligned.select(*kept, "links").mapInArrow(tasks, schema).select(
         F.col("id").alias(key),

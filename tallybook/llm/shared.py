@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,32 @@ def saved(df: DataFrame, what: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Gives memory of this process that nothing holds any more back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    # this one also trims what Python and the tokenizers have freed
+    pa.system_memory_pool().release_unused()
+
+
+#: step -> what drops all that this worker process remembers for it.
+_begun: dict[str, Callable[[], None]] = {}
+
+
+def begin_step(step: str, forget: Callable[[], None] = lambda: None) -> None:
+    """A task of ``step`` begins here: a worker process remembers things for one step at a time.
+
+    ``forget`` drops what this step will remember; processes outlive the step that they are started for.
+    """
+    others = [forgotten for other, forgotten in _begun.items() if other != step]
+    if others:
+        _begun.clear()
+        for forgotten in others:
+            forgotten()
+        release()
+    _begun[step] = forget
+
+
 def fresh(names: Iterable[str], wanted: str) -> str:
     """``wanted``, or with underscores in front until it is none of ``names`` in any case."""
     taken = {n.lower() for n in names}

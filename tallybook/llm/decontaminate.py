@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.near_copies import together
-from tallybook.llm.shared import Pieces, fresh, saved
+from tallybook.llm.shared import Pieces, begin_step, fresh, release, saved
 
 #: Template tokens of a window; items with fewer are matched whole.
 WINDOW = 8
@@ -335,6 +335,7 @@ def text_windows(rows: DataFrame, sizes: tuple[int, ...], hashes: np.ndarray | N
     sent = rows.sparkSession.sparkContext.broadcast(hashes)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin_step("decontamination", _codes.clear)
         known = None if sent.value is None else Known(sent.value)
         for b in batches:
             ids, parts, done = b["id"].to_numpy(), b["part"].to_numpy(), 0
@@ -348,6 +349,7 @@ def text_windows(rows: DataFrame, sizes: tuple[int, ...], hashes: np.ndarray | N
                 if held:
                     yield _frame(ids[done:], parts[done:], held)
                 done += len(some)
+            release()
 
     return rows.mapInPandas(split, f"id long, part long, {_SCHEMA}")
 

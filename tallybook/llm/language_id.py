@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.shared import fresh
+from tallybook.llm.shared import begin_step, fresh
 
 #: Bound of the sample for the fit: texts per language.
 SAMPLE = 800
@@ -206,6 +206,7 @@ def add_language(df: DataFrame, model: Model, text: str, name: str) -> DataFrame
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def udf(texts: pd.Series) -> pd.DataFrame:
+        begin_step("language")
         return sent.value.predict(texts)
 
     kind = "lang string, score double, rejected boolean"

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.components import components
-from tallybook.llm.shared import saved
+from tallybook.llm.shared import begin_step, saved
 from tallybook.operators.match import own_shuffle
 
 SHINGLE = 5
@@ -150,6 +150,7 @@ def marks_of(texts: pd.Series) -> pd.DataFrame:
 
 
 def _sets(texts: pd.Series) -> pd.Series:
+    begin_step("shingles")
     return pd.Series([s.tobytes() for some in together(texts) for s in shingle_sets(*words_of(some))])
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.near_copies import MARKS, linked, marks_of_sets, shingle_sets, together, words_of
-from tallybook.llm.shared import WORD_SPACE, saved
+from tallybook.llm.shared import WORD_SPACE, begin_step, release, saved
 from tallybook.llm.tokenizing import encoder
 
 #: Length of a training sequence in tokens.
@@ -188,10 +188,13 @@ def pack_texts(
     path = tokenizer or public_tokenizers.path(TOKENIZER)
 
     def marks(texts: pd.Series) -> pd.DataFrame:
+        begin_step("packing", encoder.cache_clear)
         counts, parts = encoder(path).counts, []
         for some in together(texts):
             words = words_of(some)
             parts.append(marks_of_sets(shingle_sets(*words)).assign(size=counts(some, *words) + 1))
+        del words
+        release()
         return pd.concat(parts, ignore_index=True)
 
     # numbered and written in one pass over the texts, so that a number always means the same row;

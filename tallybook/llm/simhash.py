@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.components import components
 from tallybook.llm.near_copies import near_copies
-from tallybook.llm.shared import fresh, saved
+from tallybook.llm.shared import begin_step, fresh, saved
 from tallybook.operators.match import own_shuffle
 
 RADIUS = 3
@@ -72,6 +72,7 @@ def fingerprints(df: DataFrame, text: str = "text", name: str = "fp") -> DataFra
     """``df`` with a column ``name``: the fingerprint's bits as a long."""
 
     def udf(texts: pd.Series) -> pd.Series:
+        begin_step("simhash")
         found = np.fromiter((fingerprint(t) for t in texts), np.uint64, len(texts))
         return pd.Series(found.view(np.int64))
 

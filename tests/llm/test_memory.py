@@ -1,9 +1,14 @@
 """What the text operators hold at once, and what worker processes remember."""
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tallybook.llm import alignment, shared
+from tallybook.llm.near_copies import _sets
+from tallybook.llm.packing import pack_texts
+from tallybook.llm.tokenizing import encoder
 
 
 def test_links_are_looked_up_in_bounded_slices(monkeypatch):
@@ -50,3 +55,13 @@ def test_a_worker_remembers_for_one_step_at_a_time(monkeypatch):
     for step in ("a", "a", "b", "b", "a"):
         shared.begin_step(step, lambda s=step: dropped.append(s))
     assert dropped == ["a", "b"]
+
+
+def test_the_next_step_drops_the_lengths_that_packing_remembers(spark):
+    def left(texts: pd.Series) -> pd.Series:
+        _sets(texts)
+        return pd.Series([encoder.cache_info().currsize] * len(texts))
+
+    docs = spark.createDataFrame([(i, f"word{i} and others", "s") for i in range(40)], "doc_id long, text string, source string")
+    assert pack_texts(docs).count() == 40
+    assert {r[0] for r in docs.select(F.pandas_udf(left, "long")("text")).collect()} == {0}
